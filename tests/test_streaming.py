@@ -1,0 +1,247 @@
+"""Streaming: winners over several batches, expiry, replay, restart."""
+
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from streams import add_file, drain, event, subfolder
+from touchline import schemas
+from touchline.operators import dedup
+from touchline.operators.decode import decode
+from touchline.sinks import archive, changelog, click_store
+from touchline.sources import topics
+from touchline.streaming import jobs, windows
+from touchline.streaming.best_rows import BestRows
+from touchline.streaming.health import ProgressListener, read_progress
+
+NOW = datetime(2024, 1, 1, 17, 30, tzinfo=timezone.utc)
+ORDER = [("event_time", "asc"), ("partition", "asc"), ("offset", "asc")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(
+        rows, "event_id string, event_time bigint, partition int, offset bigint"
+    )
+
+
+def step(best, batch, batch_id, now):
+    winners = best.winners(batch, batch_id, now)
+    out = [tuple(r) for r in best.improved(winners).collect()]
+    best.save(winners, batch_id)
+    return sorted(out, key=str)
+
+
+def test_only_new_and_better_rows_go_out(spark, folder):
+    best = BestRows(folder, ["event_id"], ORDER)
+    first = frame(spark, [("a", 100, 0, 0), ("a", 105, 0, 1), ("b", 100, 0, 2)])
+    assert step(best, first, 0, NOW) == [("a", 100, 0, 0), ("b", 100, 0, 2)]
+    later = frame(spark, [("a", 100, 0, 3), ("a", 110, 0, 4), ("b", 55, 0, 5), ("c", 1, 0, 6)])
+    out = step(best, later, 1, NOW + timedelta(seconds=60))
+    assert out == [("b", 55, 0, 5), ("c", 1, 0, 6)]
+
+
+def test_keys_expire_two_minutes_after_their_last_improvement(spark, folder):
+    best = BestRows(folder, ["event_id"], ORDER)
+    step(best, frame(spark, [("a", 100, 0, 0), ("b", 100, 0, 1)]), 0, NOW)
+    # b improves at 60 s; a worse copy of a at 60 s does not prolong a.
+    batch = frame(spark, [("a", 200, 0, 2), ("b", 90, 0, 3)])
+    assert step(best, batch, 1, NOW + timedelta(seconds=60)) == [("b", 90, 0, 3)]
+    batch = frame(spark, [("a", 300, 0, 4), ("b", 300, 0, 5)])
+    assert step(best, batch, 2, NOW + timedelta(seconds=119)) == []
+    batch = frame(spark, [("a", 400, 0, 6), ("b", 400, 0, 7)])
+    assert step(best, batch, 3, NOW + timedelta(seconds=121)) == [("a", 400, 0, 6)]
+    batch = frame(spark, [("b", 500, 0, 8)])
+    assert step(best, batch, 4, NOW + timedelta(seconds=181)) == [("b", 500, 0, 8)]
+
+
+def test_replayed_batch_repeats_its_output(spark, folder):
+    best = BestRows(folder, ["event_id"], ORDER)
+    step(best, frame(spark, [("a", 100, 0, 0)]), 0, NOW)
+    second = frame(spark, [("a", 50, 0, 1), ("b", 7, 0, 2)])
+    out = step(best, second, 1, NOW)
+    assert step(best, second, 1, NOW) == out == [("a", 50, 0, 1), ("b", 7, 0, 2)]
+    assert step(best, frame(spark, [("a", 60, 0, 3)]), 2, NOW) == []
+
+
+def test_null_key_and_null_order_values(spark, folder):
+    best = BestRows(folder, ["event_id"], ORDER)
+    out = step(best, frame(spark, [(None, 5, 0, 0), (None, None, 0, 1)]), 0, NOW)
+    assert out == [(None, None, 0, 1)]
+    assert step(best, frame(spark, [(None, 1, 0, 2)]), 1, NOW) == []
+
+
+def test_descending_order_keeps_null_last(spark, folder):
+    best = BestRows(folder, ["k"], [("t", "desc")])
+    schema = "k string, t bigint"
+    out = step(best, spark.createDataFrame([("a", None), ("b", None), ("b", 3)], schema), 0, NOW)
+    assert out == [("a", None), ("b", 3)]
+    out = step(best, spark.createDataFrame([("a", 1), ("b", None), ("b", 2)], schema), 1, NOW)
+    assert out == [("a", 1)]
+
+
+def test_event_job_over_several_batches_and_a_restart(spark, folder):
+    source, log = subfolder(folder, "topic"), subfolder(folder, "log")
+    sinks = jobs.EventSinks(
+        archive=subfolder(folder, "archive"),
+        publish=lambda rows, i: rows.write.mode("overwrite").parquet(f"{log}/batch={i}"),
+        clicks=subfolder(folder, "clicks"),
+    )
+
+    def run():
+        records = topics.exported_stream(spark, source, max_files=1)
+        drain(jobs.event_job(records, sinks, subfolder(folder, "checkpoint")))
+
+    clid = {"gclid": "g1", "gclid_timestamp": "3500000000", "fbclid": ""}
+    add_file(spark, source, [event("a", 100, clid_params=clid, anonymous_id="v"), "{bad"])
+    run()
+    add_file(spark, source, [event("a", 130), event("b", 5, user_id="u")], 10)
+    run()
+    newer = {"gclid": "g2", "gclid_timestamp": "3600000000"}
+    add_file(spark, source, [event("a", 55, clid_params=newer, anonymous_id="v")], 20)
+    run()
+
+    logs = spark.read.parquet(log).select(
+        "batch", "key", F.get_json_object("value", "$.event_time").cast("bigint").alias("t")
+    )
+    assert sorted(map(tuple, logs.collect())) == [
+        (0, '{"event_id":"a"}', 100),
+        (1, '{"event_id":"b"}', 5),
+        (2, '{"event_id":"a"}', 55),
+    ]
+    rows = archive.dedup_archive(archive.read_archive(spark, sinks.archive))
+    assert sorted(tuple(r) for r in rows.select("event_id", "event_time").collect()) == [
+        ("a", 55),
+        ("b", 5),
+    ]
+    (item,) = click_store.read_items(spark, sinks.clicks, now=F.timestamp_seconds(F.lit(0)))\
+        .collect()
+    assert (item.fingerprint, item.click_id_name, item.click_id) == ("v", "gclid", "g2")
+    assert (item.click_time, item.expire_at, item.utm_json) == (3600000000, 6192000, None)
+
+
+def test_stream_ends_in_the_batch_result(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    copies = [event(f"e{i % 50}", 1000 + (i * 37) % 101) for i in range(400)]
+    for start in range(0, 400, 100):
+        add_file(spark, source, copies[start : start + 100], start)
+    records = topics.exported_stream(spark, source, max_files=1)
+    sinks = jobs.EventSinks(archive=out)
+    drain(jobs.event_job(records, sinks, subfolder(folder, "checkpoint"), ttl_seconds=3600))
+    batch = dedup.dedup_events(decode(topics.exported(spark, source), schemas.RAW_EVENTS))
+    stream = archive.dedup_archive(archive.read_archive(spark, out))
+    names = ["event_id", "event_time"]
+    assert sorted(map(tuple, stream.select(*names).collect())) == sorted(
+        map(tuple, batch.select(*names).collect())
+    )
+
+
+def test_archive_of_all_arrivals_keeps_the_last_per_hour(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    add_file(spark, source, [event("a", 100), event("a", 200), event("b", 1)])
+    records = topics.exported_stream(spark, source)
+    sinks = jobs.EventSinks(archive=out)
+    drain(jobs.event_job(records, sinks, subfolder(folder, "cp"), archive_all=True))
+    rows = archive.read_archive(spark, out).select("event_id", "event_time").collect()
+    assert sorted(map(tuple, rows)) == [("a", 200), ("b", 1)]
+
+
+def test_latest_copy_job(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    for i, time in enumerate((100, 300, 200)):
+        add_file(spark, source, [event("a", time)], i)
+    records = topics.exported_stream(spark, source, max_files=1)
+    sinks = jobs.EventSinks(archive=out)
+    drain(jobs.event_job(records, sinks, subfolder(folder, "cp"), keep="last"))
+    rows = archive.dedup_archive(archive.read_archive(spark, out), keep="last").collect()
+    assert [r.event_time for r in rows] == [300]
+
+
+def test_attributed_job(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    attributed = {"source": "google", "is_attributed": 1, "click_time": "1700000000"}
+    add_file(spark, source, [event("a", 9, **attributed), event("a", 7, **attributed)])
+    records = topics.exported_stream(spark, source)
+    drain(jobs.attributed_job(records, out, subfolder(folder, "cp")))
+    (row,) = archive.read_archive(spark, out, schema=archive.ATTRIBUTED_ARCHIVE).collect()
+    assert (row.event_time, row.source, row.is_attributed) == (7, "google", 1)
+    assert (row.click_time, row.processing_status) == (1700000000, "attributed")
+    assert len(row.hr) == 2 and len(row.dt) == 10
+
+
+def test_exposure_job_appends_every_record_once(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    exposure = {"event_id": "x", "visible_ratio": "0.5", "ext_json": {"a": [1]}}
+    for start in (0, 10):
+        add_file(spark, source, [exposure, exposure], start)
+        records = topics.exported_stream(spark, source)
+        drain(jobs.exposure_job(records, out, subfolder(folder, "cp")))
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 4
+    assert {(r.visible_ratio, r.ext_json) for r in rows} == {(0.5, '{"a":[1]}')}
+
+
+def stats_stream(spark, folder, slide=None):
+    records = topics.exported_stream(spark, subfolder(folder, "topic"), max_files=1)
+    events = decode(records, schemas.RAW_EVENTS)
+    size = "5 minutes" if slide else "1 minute"
+    return (
+        windows.stream_stats(events, ["event_type"], size, slide)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", subfolder(folder, "stats"))
+        .option("checkpointLocation", subfolder(folder, "cp"))
+    )
+
+
+def test_streamed_windows_count_users_and_drop_late_rows(spark, folder):
+    source = subfolder(folder, "topic")
+    minute = 1704067200
+    add_file(spark, source, [event(str(i), minute + i, user_id=f"u{i % 3}") for i in range(9)])
+    drain(stats_stream(spark, folder))
+    add_file(spark, source, [event("n", minute + 30), event("z", minute + 100)], 20)
+    drain(stats_stream(spark, folder))
+    # The watermark is past the first minute: this row is late.
+    add_file(spark, source, [event("late", minute + 1), event("y", minute + 300)], 30)
+    drain(stats_stream(spark, folder))
+    rows = spark.read.parquet(subfolder(folder, "stats")).orderBy("window_start").collect()
+    assert [(r.window_start.minute, r.event_count, r.user_count) for r in rows] == [
+        (0, 10, 3),
+        (1, 1, 0),
+    ]
+
+
+def test_streamed_hopping_windows(spark, folder):
+    source = subfolder(folder, "topic")
+    minute = 1704067200
+    rows = [event("a", minute, user_id="u"), event("b", minute + 60, user_id="u")]
+    add_file(spark, source, [*rows, event("c", minute + 3600)])
+    drain(stats_stream(spark, folder, "1 minute"))
+    out = spark.read.parquet(subfolder(folder, "stats")).where("event_count > 0")
+    counts = [
+        (r.event_count, r.user_count) for r in out.orderBy("window_start").collect()
+    ]
+    assert counts == [(1, 1), (2, 1), (2, 1), (2, 1), (2, 1), (1, 1)]
+
+
+def test_progress_listener_records_rate_and_lag(spark, folder):
+    source, progress = subfolder(folder, "topic"), subfolder(folder, "progress")
+    listener = ProgressListener(spark, progress)
+    spark.streams.addListener(listener)
+    try:
+        add_file(spark, source, [event("a", 100), event("b", 50)])
+        records = topics.exported_stream(spark, source)
+        sinks = jobs.EventSinks(archive=subfolder(folder, "archive"))
+        drain(jobs.event_job(records, sinks, subfolder(folder, "cp")))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    rows = read_progress(spark, progress).where("records > 0").collect()
+    assert [r.records for r in rows] == [2]
+    assert rows[0].lag_ms is not None and rows[0].lag_ms > 0
+
+
+def test_publishing_to_kafka_needs_the_connector(spark):
+    log = changelog.to_changelog(spark.createDataFrame([("a",)], "event_id string"))
+    with pytest.raises(Exception, match="kafka"):
+        changelog.write_kafka(log, "broker:9092", "processed-events")

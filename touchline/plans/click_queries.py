@@ -8,7 +8,7 @@ from touchline.operators import clicks
 from touchline.plans import adapter
 from touchline.plans.catalog import query
 
-_NOW = "2024-02-10 00:00:00"
+_NOW = "2024-02-29 00:00:00"
 
 
 def _now():

@@ -19,6 +19,7 @@ from touchline.operators import clicks, enrich
 from touchline.operators.decode import decode
 from touchline.sinks import archive, changelog, click_store
 from touchline.streaming.best_rows import STATE_TTL_SECONDS, BestRows, batch_clock
+from touchline.streaming.health import observed
 
 # Fixed value: time between micro-batches.
 TRIGGER = "60 seconds"
@@ -33,7 +34,7 @@ Write = Callable[[DataFrame, datetime, int], None]
 
 def stamped(records: DataFrame, schema) -> DataFrame:
     """Decoded rows with the processing time of their micro-batch."""
-    return enrich.with_processed_time(decode(records, schema))
+    return observed(enrich.with_processed_time(decode(records, schema)))
 
 
 def _write_improved(best: BestRows, batch: DataFrame, batch_id: int, now, write: Write) -> None:
@@ -45,8 +46,19 @@ def _write_improved(best: BestRows, batch: DataFrame, batch_id: int, now, write:
         winners.unpersist()
 
 
-def _start(rows: DataFrame, checkpoint: str, process) -> DataStreamWriter:
-    writer = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+def _start(
+    rows: DataFrame, checkpoint: str, process: Callable[[DataFrame, datetime, int], None]
+) -> DataStreamWriter:
+    """A query whose micro-batches are read and decoded once, however often used."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            process(batch, batch_clock(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=TRIGGER)
 
 
@@ -61,8 +73,8 @@ def best_rows_job(
     """New and better rows per key go to ``write``; rows carry ``processed_time``."""
     best = BestRows(f"{checkpoint}/best_rows", keys, order, ttl_seconds)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        _write_improved(best, batch, batch_id, batch_clock(batch), write)
+    def process(batch: DataFrame, now: datetime, batch_id: int) -> None:
+        _write_improved(best, batch, batch_id, now, write)
 
     return _start(rows, checkpoint, process)
 
@@ -114,18 +126,13 @@ def event_job(
         latest = enrich.to_event_archive(archive.last_arrivals(hours))
         archive.upsert_archive(latest, sinks.archive, now, batch_id)
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            now = batch_clock(batch)
-            if sinks.clicks:
-                entries = clicks.explode_clicks(batch)
-                _write_improved(best_clicks, entries, batch_id, now, put_clicks)
-            _write_improved(best, batch, batch_id, now, put_events)
-            if sinks.archive and archive_all:
-                put_all(batch, now, batch_id)
-        finally:
-            batch.unpersist()
+    def process(batch: DataFrame, now: datetime, batch_id: int) -> None:
+        if sinks.clicks:
+            entries = clicks.explode_clicks(batch)
+            _write_improved(best_clicks, entries, batch_id, now, put_clicks)
+        _write_improved(best, batch, batch_id, now, put_events)
+        if sinks.archive and archive_all:
+            put_all(batch, now, batch_id)
 
     return _start(stamped(records, schemas.RAW_EVENTS), checkpoint, process)
 
