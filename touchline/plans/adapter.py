@@ -90,12 +90,16 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_event_timestamp(rows.select(*_RAW, "partition", "offset"))
 
 
+def raw_events_by_copy(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The raw events in three parts: originals, later copies, earlier copies."""
+    rows = _raw_columns(_copies(_base(spark, sf_dir)))
+    parts = [rows.where(F.col("copy") == copy) for copy in range(3)]
+    return [with_event_timestamp(part.select(*_RAW, "partition", "offset")) for part in parts]
+
+
 def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events without copies."""
-    rows = _base(spark, sf_dir).withColumns(
-        {"copy": F.lit(0), "event_time": F.col("base_time")}
-    )
-    return with_event_timestamp(_raw_columns(rows).select(*_RAW, "partition", "offset"))
+    return raw_events_by_copy(spark, sf_dir)[0]
 
 
 def attributed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,7 +113,7 @@ _ITEMS_SQL = f"""{_LATEST_SQL}, items AS (
   FROM latest WHERE row_num = 1
 )
 """
-_STORE_SQL = f"""{_ITEMS_SQL}, store AS (
+STORE_SQL = f"""{_ITEMS_SQL}, store AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, ROW_NUMBER() OVER (
       PARTITION BY fingerprint, click_id_name
@@ -152,14 +152,14 @@ def click_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_items(_items(spark, sf_dir))
 
 
-@query(_STORE_SQL + "SELECT * FROM store")
+@query(STORE_SQL + "SELECT * FROM store")
 def click_store_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole item per visitor and click-id name."""
     return flat_items(clicks.last_written(_items(spark, sf_dir)))
 
 
 @query(
-    _STORE_SQL
+    STORE_SQL
     + f"""SELECT * FROM store
 WHERE expire_at IS NULL OR expire_at > CAST(epoch(TIMESTAMP '{_NOW}') AS BIGINT)"""
 )
