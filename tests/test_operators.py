@@ -250,3 +250,15 @@ def test_health_report_covers_ten_minutes(spark):
     out = health.health_report(rows, now).collect()
     assert [tuple(r)[2:] for r in out] == [(4.0, 2.0, 100.0, 100)]
     assert health.health_report(rows).count() == 3
+
+
+def test_named_items_and_empty_keys(spark):
+    rows = events(
+        spark,
+        click(5, anonymous_id="v", user_id="u", event_id="a"),
+        click(5, anonymous_id="", event_id="b"),
+        {"anonymous_id": "w", "clid_params": {"h": "1"}},
+    )
+    out = clicks.named_click_items(rows, "g", clock("1970-01-01 00:00:01")).collect()
+    assert [tuple(r) for r in out] == [("v", "g", 5, "u", "1", None, None, 1000, 2592000)]
+    assert clicks.click_items(clicks.latest_clicks(rows)).count() == 2

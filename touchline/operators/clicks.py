@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline import schemas
 from touchline.functions import clicks as fx
-from touchline.functions.maps import clean_map, clean_text
 from touchline.operators.dedup import RANK, arrival_order, top_rows
 
+# By what clicks are deduplicated.
+LATEST_KEY = ["anonymous_id", "k", "v"]
+INSTANCE_KEY = ["anonymous_id", "user_id", "v", "click_time_text"]
+
 
 def with_click(events: DataFrame, name: str) -> DataFrame:
     """Events that carry the click id ``name``."""
@@ -33,21 +36,28 @@ def latest_clicks(events: DataFrame, max_rank: int = 1) -> DataFrame:
     """
     clicks = explode_clicks(events)
     order = [F.desc("click_time"), F.asc("event_time"), *arrival_order(events)]
-    ranked = top_rows(clicks, ["anonymous_id", "k", "v"], order, max_rank)
+    ranked = top_rows(clicks, LATEST_KEY, order, max_rank)
     return ranked.withColumn("is_new_click", F.col(RANK) == 1)
 
 
+def with_click_time_text(clicks: DataFrame) -> DataFrame:
+    stamp = fx.click_time_text(F.col("clid_params"), F.col("k"))
+    return clicks.withColumn("click_time_text", stamp)
+
+
 def click_instances(events: DataFrame) -> DataFrame:
     """The last event of each (visitor, user, click id, click time) instance.
 
     The click-time text, not its number, is part of the key, and the click-id
     name is not.
     """
-    stamp = fx.click_time_text(F.col("clid_params"), F.col("k"))
-    clicks = explode_clicks(events).withColumn("click_time_text", stamp)
+    clicks = with_click_time_text(explode_clicks(events))
     order = [F.desc("event_time"), *arrival_order(events)]
-    rows = top_rows(clicks, ["anonymous_id", "user_id", "v", "click_time_text"], order)
-    return rows.select(
+    return instance_rows(top_rows(clicks, INSTANCE_KEY, order))
+
+
+def instance_rows(clicks: DataFrame) -> DataFrame:
+    return clicks.select(
         F.col("anonymous_id").alias("fingerprint"),
         "user_id",
         F.col("v").alias("click_id"),
@@ -57,34 +67,59 @@ def click_instances(events: DataFrame) -> DataFrame:
     )
 
 
-def click_items(clicks: DataFrame, now: Column | None = None) -> DataFrame:
-    """Stored items for winning clicks; rows without a key are not stored.
+def _keyed(items: DataFrame) -> DataFrame:
+    """Items without a full key are not stored."""
+    return items.where(F.col("fingerprint").isNotNull() & F.col("click_id_name").isNotNull())
 
-    Empty texts and maps become NULL.  A NULL field is a field the item lacks.
-    """
-    now = F.current_timestamp() if now is None else now
+
+def click_items(clicks: DataFrame, now: Column | None = None) -> DataFrame:
+    """Stored items for winning clicks; rows without a key are not stored."""
     winners = clicks.where("is_new_click") if "is_new_click" in clicks.columns else clicks
-    keyed = winners.where(F.col("anonymous_id").isNotNull() & F.col("k").isNotNull())
-    return keyed.select(
-        clean_text(F.col("anonymous_id")).alias("fingerprint"),
-        clean_text(F.col("k")).alias("click_id_name"),
-        "click_time",
-        clean_text(F.col("user_id")).alias("user_id"),
-        clean_text(F.col("v")).alias("click_id"),
-        clean_map(F.col("utm_params")).alias("utm_json"),
-        clean_text(F.col("event_id")).alias("event_id"),
-        F.unix_millis(now).alias("updated_at"),
-        fx.expire_at(F.col("click_time")).alias("expire_at"),
+    fields = fx.stored_click(
+        F.col("anonymous_id"),
+        F.col("click_time"),
+        F.col("user_id"),
+        F.col("v"),
+        F.col("k"),
+        F.col("utm_params"),
+        F.col("event_id"),
+        now,
     )
+    return _keyed(winners.select(*fields))
+
+
+def named_click_items(events: DataFrame, name: str, now: Column | None = None) -> DataFrame:
+    """Stored items for one click-id name, straight from the events."""
+    params = F.col("clid_params")
+    fields = fx.stored_click(
+        F.col("anonymous_id"),
+        fx.click_time(params, F.lit(name)),
+        F.col("user_id"),
+        params[name],
+        F.lit(name),
+        F.col("utm_params"),
+        now=now,
+    )
+    return _keyed(with_click(events, name).select(*fields))
+
+
+def instance_items(instances: DataFrame) -> DataFrame:
+    """Items from click instances, which carry no event, write time or expiry."""
+    none = {
+        "event_id": F.lit(None).cast("string"),
+        "updated_at": F.lit(None).cast("bigint"),
+        "expire_at": F.lit(None).cast("bigint"),
+    }
+    return _keyed(instances.withColumns(none).select(*schemas.CLICK_ITEMS))
 
 
 def last_written(items: DataFrame) -> DataFrame:
     """One whole item per key from several writes of one batch.
 
-    The newest click wins; among equals the event id decides, so a replay
-    writes the same item.
+    The newest click wins; among equals the ids decide, so a replay writes the
+    same item.
     """
-    order = [F.desc("click_time"), F.desc("event_id"), F.desc("click_id")]
+    order = [F.desc(c) for c in ("click_time", "event_id", "click_id", "user_id")]
     rows = top_rows(items, schemas.CLICK_KEY, order)
     return rows.select(*schemas.CLICK_ITEMS)
 

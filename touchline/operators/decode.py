@@ -26,8 +26,9 @@ def _typed(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.StringType, T.MapType)):
         return text
     if isinstance(field.dataType, (T.IntegerType, T.LongType)):
-        # Through decimal: 1.9 and 1e3 are cut to whole numbers, text is NULL.
-        text = text.try_cast("decimal(38,18)")
+        # 1.9 and 1e3 are cut to whole numbers, which only decimals can read.
+        cut = text.try_cast("decimal(38,18)").try_cast(field.dataType)
+        return F.coalesce(text.try_cast(field.dataType), cut).alias(field.name)
     return text.try_cast(field.dataType).alias(field.name)
 
 

@@ -42,9 +42,10 @@ def user_sessions(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
         )
     )
     by_user = Window.partitionBy("user_id").orderBy("slot")
+    up_to_here = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pause = F.col("first_time") - F.lag("last_time").over(by_user)
     starts = slots.withColumn("starts", F.when(pause < gap, 0).otherwise(1))
-    numbered = starts.withColumn("session", F.sum("starts").over(by_user))
+    numbered = starts.withColumn("session", F.sum("starts").over(up_to_here))
     return (
         numbered.groupBy("user_id", "session")
         .agg(

@@ -79,7 +79,7 @@ def click_rank_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
+_INSTANCES_SQL = """
 SELECT anonymous_id AS fingerprint, user_id, v AS click_id, k AS click_id_name, click_time,
        utm_source, utm_campaign
 FROM (
@@ -88,7 +88,10 @@ FROM (
     ORDER BY event_time DESC NULLS LAST, part, pos) AS row_num
   FROM entries)
 WHERE row_num = 1
-""")
+"""
+
+
+@query(_INSTANCES_SQL)
 def click_dedup_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last event of each click instance."""
     rows = clicks.click_instances(adapter.raw_events(spark, sf_dir))
@@ -117,7 +120,8 @@ STORE_SQL = f"""{_ITEMS_SQL}, store AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, ROW_NUMBER() OVER (
       PARTITION BY fingerprint, click_id_name
-      ORDER BY click_time DESC NULLS LAST, event_id DESC NULLS LAST, click_id DESC NULLS LAST
+      ORDER BY click_time DESC NULLS LAST, event_id DESC NULLS LAST, click_id DESC NULLS LAST,
+               user_id DESC NULLS LAST
     ) AS rn FROM items)
   WHERE rn = 1
 )
@@ -166,3 +170,33 @@ WHERE expire_at IS NULL OR expire_at > CAST(epoch(TIMESTAMP '{_NOW}') AS BIGINT)
 def click_store_unexpired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored items still alive at a given time."""
     return flat_items(clicks.unexpired(clicks.last_written(_items(spark, sf_dir)), _now()))
+
+
+@query(f"""
+SELECT fingerprint, click_id_name, click_time, user_id, click_id FROM (
+  SELECT *, ROW_NUMBER() OVER (
+    PARTITION BY fingerprint, click_id_name
+    ORDER BY click_time DESC NULLS LAST, click_id DESC NULLS LAST, user_id DESC NULLS LAST) AS rn
+  FROM ({_INSTANCES_SQL}))
+WHERE rn = 1
+""")
+def click_store_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One whole item per key from click instances."""
+    instances = clicks.click_instances(adapter.raw_events(spark, sf_dir))
+    stored = clicks.last_written(clicks.instance_items(instances))
+    return stored.select("fingerprint", "click_id_name", "click_time", "user_id", "click_id")
+
+
+@query("""
+SELECT anonymous_id AS fingerprint, 'gclid' AS click_id_name,
+       TRY_CAST(gclid_ms AS BIGINT) AS click_time, user_id, nullif(gclid, '') AS click_id,
+       utm_source, utm_campaign, CAST(1 + (utm_campaign IS NOT NULL)::INTEGER AS INTEGER)
+         AS utm_entries,
+       CAST(NULL AS VARCHAR) AS event_id,
+       CAST(epoch(TIMESTAMP '2024-02-29 00:00:00') * 1000 AS BIGINT) AS updated_at,
+       TRY_CAST(gclid_ms AS BIGINT) // 1000 + 2592000 AS expire_at
+FROM raw WHERE gclid IS NOT NULL
+""")
+def click_items_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items for one click-id name, without event ids."""
+    return flat_items(clicks.named_click_items(adapter.raw_events(spark, sf_dir), "gclid", _now()))

@@ -31,10 +31,10 @@ _BEFORE_ANY_EXPIRY = "2024-01-01 00:00:00"
 
 def _export(spark: SparkSession, topic: DataFrame) -> tuple[str, int]:
     """The topic as files, and how many of them make a third of it."""
-    files = max(spark.sparkContext.defaultParallelism, _MICRO_BATCHES)
+    per_batch = spark.sparkContext.defaultParallelism
     path = work_dir(spark, "topic")
-    topic.repartition(files).write.parquet(path)
-    return path, -(-files // _MICRO_BATCHES)
+    topic.repartition(per_batch * _MICRO_BATCHES).write.parquet(path)
+    return path, per_batch
 
 
 def _drain(writer: DataStreamWriter) -> None:

@@ -10,7 +10,14 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from touchline import schemas
 from touchline.operators.dedup import RANK, top_rows
-from touchline.sinks.commits import commit_id, compact, read_latest, write_commit
+from touchline.sinks.commits import (
+    COMMIT,
+    commit_id,
+    compact,
+    read_commits,
+    read_latest,
+    write_commit,
+)
 
 PARTITIONS = ["dt", "hr"]
 
@@ -45,6 +52,13 @@ def read_archive(
     return read_latest(spark, paths, schema, schemas.ARCHIVE_KEY)
 
 
+def read_compacted(
+    spark: SparkSession, path: str, schema: T.StructType = EVENT_ARCHIVE
+) -> DataFrame:
+    """A compacted archive; it is unique by key, so nothing has to be merged."""
+    return read_commits(spark, [path], schema).drop(COMMIT)
+
+
 def compact_archive(
     spark: SparkSession, path: str, target: str, schema: T.StructType = EVENT_ARCHIVE
 ) -> None:

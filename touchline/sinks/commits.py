@@ -24,13 +24,19 @@ def commit_id(now: datetime, batch_id: int) -> str:
 
 
 def write_commit(
-    rows: DataFrame, path: str, commit: str, partition_by: Sequence[str] = ()
+    rows: DataFrame,
+    path: str,
+    commit: str,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = False,
 ) -> None:
     """Write ``rows`` as ``commit``, replacing what an earlier attempt left.
 
-    Rebalancing gathers a partition into few files and splits a large one.
+    A micro-batch lies in one or two hours and is written as it is spread.
+    ``rebalance`` shuffles rows of many partitions so that each one gets few
+    files and a large one is split.
     """
-    if partition_by:
+    if rebalance and partition_by:
         rows = rows.hint("rebalance", *partition_by)
     (
         rows.withColumn(COMMIT, F.lit(commit))
@@ -75,7 +81,7 @@ def compact(
     newest = read_commits(spark, paths, schema).agg(F.max(COMMIT)).first()[0]
     if newest is not None:
         rows = keep(read_latest(spark, paths, schema, keys))
-        write_commit(rows, target, newest, partition_by)
+        write_commit(rows, target, newest, partition_by, rebalance=True)
 
 
 def merge_into(rows: DataFrame, table: str, keys: Sequence[str]) -> None:

@@ -27,7 +27,11 @@ def observed(events: DataFrame) -> DataFrame:
 
 
 def progress_row(progress) -> tuple:
-    """One ``PROGRESS`` row; the lag is NULL where no event time was observed."""
+    """One ``PROGRESS`` row; the lag is NULL where no event time was observed.
+
+    ``records`` counts what the source was asked for, including the few rows
+    read ahead to learn the clock of a micro-batch.
+    """
     stamp = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
     metric = progress.observedMetrics.get(_METRIC)
     newest = None if metric is None else metric["newest"]

@@ -47,16 +47,24 @@ def _write_improved(best: BestRows, batch: DataFrame, batch_id: int, now, write:
 
 
 def _start(
-    rows: DataFrame, checkpoint: str, process: Callable[[DataFrame, datetime, int], None]
+    rows: DataFrame,
+    checkpoint: str,
+    process: Callable[[DataFrame, datetime, int], None],
+    reused: bool = False,
 ) -> DataStreamWriter:
-    """A query whose micro-batches are read and decoded once, however often used."""
+    """A query over micro-batches; one that is ``reused`` is decoded only once."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # One row is read ahead for the clock; persisting first would make a
+        # whole partition wait for it.
+        now = batch_clock(batch)
+        if reused:
+            batch = batch.persist()
         try:
-            process(batch, batch_clock(batch), batch_id)
+            process(batch, now, batch_id)
         finally:
-            batch.unpersist()
+            if reused:
+                batch.unpersist()
 
     writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(processingTime=TRIGGER)
@@ -84,12 +92,14 @@ class EventSinks:
     """Where the event job writes; a sink left out is not written.
 
     ``publish`` takes the change-log of a batch, for instance
-    :func:`touchline.sinks.changelog.write_kafka`.
+    :func:`touchline.sinks.changelog.write_kafka`.  ``click_rule`` stores the
+    ``"latest"`` sighting of each click id or each click ``"instance"``.
     """
 
     archive: str | None = None
     publish: Callable[[DataFrame, int], None] | None = None
     clicks: str | None = None
+    click_rule: str = "latest"
 
 
 def event_job(
@@ -105,14 +115,20 @@ def event_job(
     With ``archive_all`` the archive takes every event that arrives instead of
     the deduplicated ones, and relies on its key alone.
     """
+    if keep not in ("first", "last") or sinks.click_rule not in ("latest", "instance"):
+        raise ValueError(f"unknown rule: keep={keep!r}, click_rule={sinks.click_rule!r}")
     order = EARLIEST if keep == "first" else LATEST
     best = BestRows(f"{checkpoint}/best_rows", schemas.EVENT_KEY, order, ttl_seconds)
-    best_clicks = BestRows(
-        f"{checkpoint}/best_clicks", ["anonymous_id", "k", "v"], NEWEST_CLICK, ttl_seconds
-    )
+    latest = sinks.click_rule == "latest"
+    click_keys = clicks.LATEST_KEY if latest else clicks.INSTANCE_KEY
+    click_order = NEWEST_CLICK if latest else LATEST
+    best_clicks = BestRows(f"{checkpoint}/best_clicks", click_keys, click_order, ttl_seconds)
 
     def put_clicks(rows: DataFrame, now: datetime, batch_id: int) -> None:
-        items = clicks.click_items(rows, F.lit(now))
+        if latest:
+            items = clicks.click_items(rows, F.lit(now))
+        else:
+            items = clicks.instance_items(clicks.instance_rows(rows))
         click_store.put_items(items, sinks.clicks, now, batch_id)
 
     def put_events(rows: DataFrame, now: datetime, batch_id: int) -> None:
@@ -123,18 +139,20 @@ def event_job(
 
     def put_all(rows: DataFrame, now: datetime, batch_id: int) -> None:
         hours = enrich.with_hour_partition(rows)
-        latest = enrich.to_event_archive(archive.last_arrivals(hours))
-        archive.upsert_archive(latest, sinks.archive, now, batch_id)
+        arrived = enrich.to_event_archive(archive.last_arrivals(hours))
+        archive.upsert_archive(arrived, sinks.archive, now, batch_id)
 
     def process(batch: DataFrame, now: datetime, batch_id: int) -> None:
         if sinks.clicks:
             entries = clicks.explode_clicks(batch)
+            entries = entries if latest else clicks.with_click_time_text(entries)
             _write_improved(best_clicks, entries, batch_id, now, put_clicks)
         _write_improved(best, batch, batch_id, now, put_events)
         if sinks.archive and archive_all:
             put_all(batch, now, batch_id)
 
-    return _start(stamped(records, schemas.RAW_EVENTS), checkpoint, process)
+    reused = bool(sinks.clicks or archive_all)
+    return _start(stamped(records, schemas.RAW_EVENTS), checkpoint, process, reused)
 
 
 def attributed_job(
