@@ -23,8 +23,15 @@ def _pairs(**entries: Column) -> Column:
     return F.create_map(*flat)
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table; one that comes in fewer files than there are cores is spread out."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores, "event_id") if len(events.inputFiles()) < cores else events
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return _events(spark, sf_dir).select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("uid"),
         "event_type",

@@ -24,6 +24,8 @@ from touchline.streaming.health import observed
 # Fixed value: time between micro-batches.
 TRIGGER = "60 seconds"
 
+COALESCE_CACHED = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
 ARRIVAL = [("partition", "asc"), ("offset", "asc")]
 EARLIEST = [("event_time", "asc"), *ARRIVAL]
 LATEST = [("event_time", "desc"), *ARRIVAL]
@@ -55,6 +57,9 @@ def _start(
     """A query over micro-batches; one that is ``reused`` is decoded only once."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        # The session of a batch belongs to its query; others are not affected.
+        # Without this, a small batch leaves one tiny file per shuffle partition.
+        batch.sparkSession.conf.set(COALESCE_CACHED, "true")
         # One row is read ahead for the clock; persisting first would make a
         # whole partition wait for it.
         now = batch_clock(batch)
