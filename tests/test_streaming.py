@@ -1,5 +1,7 @@
 """Streaming: winners over several batches, expiry, replay, restart."""
 
+import glob
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from streams import add_file, drain, event, subfolder
 from touchline import schemas
-from touchline.operators import dedup
+from touchline.operators import attribution, dedup
 from touchline.operators.decode import decode
 from touchline.sinks import archive, changelog, click_store
 from touchline.sources import topics
@@ -316,3 +318,81 @@ def test_failed_batch_is_repeated_without_loss(spark, folder):
     run()
     rows = archive.dedup_archive(archive.read_archive(spark, out)).collect()
     assert sorted((r.event_id, r.event_time) for r in rows) == [("a", 1), ("b", 5)]
+
+
+def simulate(batches, ttl):
+    """What goes out per batch, by the rule in plain Python."""
+    known, out = {}, []
+    for now, rows in batches:
+        best = {}
+        for row in rows:
+            rank = row[1:]
+            best[row[0]] = min(best.get(row[0], rank), rank)
+        sent = []
+        for key, rank in best.items():
+            old = known.get(key)
+            if old is None or old[1] <= now or rank < old[0]:
+                known[key] = (rank, now + ttl)
+                sent.append((key, *rank))
+        out.append(sorted(sent))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_winners_match_a_simulation(spark, folder, seed):
+    rng = random.Random(seed)
+    batches, now, offset = [], 0, 0
+    for _ in range(8):
+        now += rng.choice([10, 60, 90, 130])
+        rows = []
+        for _ in range(rng.randrange(1, 40)):
+            rows.append((rng.choice("abcdefgh"), rng.randrange(50), 0, offset))
+            offset += 1
+        batches.append((now, rows))
+    best = BestRows(folder, ["event_id"], ORDER)
+    out = [
+        step(best, frame(spark, rows), i, NOW + timedelta(seconds=at))
+        for i, (at, rows) in enumerate(batches)
+    ]
+    assert out == simulate(batches, 120)
+
+
+def test_a_click_store_can_be_added_to_a_running_query(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    clid = {"gclid": "g1", "gclid_timestamp": "1000"}
+
+    def run(sinks):
+        records = topics.exported_stream(spark, source)
+        drain(jobs.event_job(records, sinks, subfolder(folder, "cp")))
+
+    add_file(spark, source, [event("a", 1)])
+    run(jobs.EventSinks(archive=out))
+    add_file(spark, source, [event("b", 1, anonymous_id="v", clid_params=clid)])
+    store = subfolder(folder, "clicks")
+    run(jobs.EventSinks(archive=out, clicks=store))
+    items = click_store.read_items(spark, store, now=F.timestamp_seconds(F.lit(0)))
+    assert [r.fingerprint for r in items.collect()] == ["v"]
+    assert archive.read_archive(spark, out).count() == 2
+
+
+def test_conversions_of_a_stream_meet_a_stored_table(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "conversions")
+    add_file(spark, source, [event("a", 1, user_id="u") | {"event_type": "conversion"}])
+    sessions = spark.createDataFrame(
+        [("u", "ads", "c1")],
+        "user_id string, first_touch_channel string, first_touch_campaign string",
+    )
+    events = decode(topics.exported_stream(spark, source), schemas.RAW_EVENTS)
+    joined = attribution.first_touch_join(events, sessions)
+    writer = joined.writeStream.format("parquet").option("path", out)
+    drain(writer.option("checkpointLocation", subfolder(folder, "cp")))
+    (row,) = spark.read.parquet(out).collect()
+    assert (row.conversion_id, row.attributed_channel) == ("a", "ads")
+
+
+def test_small_batches_leave_few_files(spark, folder):
+    source, out = subfolder(folder, "topic"), subfolder(folder, "archive")
+    add_file(spark, source, [event(str(i), i) for i in range(200)])
+    records = topics.exported_stream(spark, source)
+    drain(jobs.event_job(records, jobs.EventSinks(archive=out), subfolder(folder, "cp")))
+    assert len(glob.glob(f"{out}/**/*.parquet", recursive=True)) == 1

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from touchline import schemas
+
 _CORRUPT = "_corrupt_record"
-_METADATA = ("partition", "offset")
 
 
 def _lenient(schema: T.StructType) -> T.StructType:
@@ -48,6 +49,6 @@ def decode(records: DataFrame, schema: T.StructType) -> DataFrame:
         return opens & (p[_CORRUPT].isNull() | readable.isNotNull())
 
     # inline() keeps the filter and the columns on one from_json evaluation.
-    metadata = [c for c in _METADATA if c in records.columns]
-    rows = records.select(*metadata, F.inline(F.filter(F.array(parsed), is_object)))
-    return rows.select(*[_typed(f) for f in schema.fields], *metadata)
+    position = [c for c in schemas.POSITION if c in records.columns]
+    rows = records.select(*position, F.inline(F.filter(F.array(parsed), is_object)))
+    return rows.select(*[_typed(f) for f in schema.fields], *position)

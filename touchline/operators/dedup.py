@@ -10,13 +10,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from touchline import schemas
+
 RANK = "row_num"
-_METADATA = ("partition", "offset")
 
 
 def arrival_order(events: DataFrame) -> list[Column]:
     """Source position where known; makes equal timestamps deterministic."""
-    return [F.col(c).asc() for c in _METADATA if c in events.columns]
+    return [F.col(c).asc() for c in schemas.POSITION if c in events.columns]
 
 
 def top_rows(
@@ -39,4 +40,4 @@ def dedup_events(events: DataFrame, keep: str = "first") -> DataFrame:
         raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
     time = F.col("event_time")
     order = [time.asc() if keep == "first" else time.desc(), *arrival_order(events)]
-    return top_rows(events, ["event_id"], order).drop(RANK)
+    return top_rows(events, schemas.EVENT_KEY, order).drop(RANK)

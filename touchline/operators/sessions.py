@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from touchline.operators.dedup import _METADATA
+from touchline import schemas
 
 # Our choice: a pause of 30 minutes or more starts a new session.
 SESSION_GAP = 30 * 60
@@ -20,7 +20,7 @@ def user_sessions(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
     """
     time = F.col("event_time")
     utm = F.col("utm_params")
-    tie = [c for c in ("event_id", *_METADATA) if c in events.columns]
+    tie = [c for c in ("event_id", *schemas.POSITION) if c in events.columns]
     touch = F.struct(
         utm["utm_source"].alias("first_touch_channel"),
         utm["utm_campaign"].alias("first_touch_campaign"),

@@ -24,10 +24,11 @@ def _pairs(**entries: Column) -> Column:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table; one that comes in fewer files than there are cores is spread out."""
+    """The table; one that is read in fewer tasks than there are cores is spread out."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores, "event_id") if len(events.inputFiles()) < cores else events
+    few = events.rdd.getNumPartitions() < cores
+    return events.repartition(cores, "event_id") if few else events
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:

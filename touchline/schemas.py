@@ -78,6 +78,9 @@ TOPIC_RECORDS = struct(
     offset=LONG,
 )
 
+# Where a record stood in its topic; read but never written.
+POSITION = ["partition", "offset"]
+
 # Columns of the sinks, in the order they are declared.
 PROCESSED_EVENTS = [
     *[f.name for f in RAW_EVENTS.fields if f.name != "gtm_preview_code"],

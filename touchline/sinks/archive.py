@@ -34,7 +34,7 @@ ATTRIBUTED_ARCHIVE = _archive_schema(schemas.ATTRIBUTED_ARCHIVE)
 
 def last_arrivals(rows: DataFrame) -> DataFrame:
     """The last arrival per archive key, for input that was not deduplicated."""
-    latest = [F.col(c).desc() for c in ("partition", "offset") if c in rows.columns]
+    latest = [F.col(c).desc() for c in schemas.POSITION if c in rows.columns]
     if not latest:
         raise ValueError("arrival order needs the partition and offset columns")
     return top_rows(rows, schemas.ARCHIVE_KEY, latest).drop(RANK)

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from touchline.operators.dedup import RANK, top_rows
@@ -55,7 +56,13 @@ class BestRows:
         schema = T.StructType([*fields, T.StructField(_DEADLINE, T.TimestampType())])
         if batch_id == 0:
             return batch.sparkSession.createDataFrame([], schema)
-        slot = batch.sparkSession.read.schema(schema).parquet(self._slot(batch_id - 1))
+        try:
+            slot = batch.sparkSession.read.schema(schema).parquet(self._slot(batch_id - 1))
+        except AnalysisException as error:
+            # This sink was added to a running query: it starts with nothing known.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return batch.sparkSession.createDataFrame([], schema)
         return slot.where(F.col(_DEADLINE) > F.lit(now))
 
     def winners(self, batch: DataFrame, batch_id: int, now: datetime) -> DataFrame:
