@@ -6,103 +6,110 @@ derived from its columns.  Every row is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline import schemas
 from touchline.operators.enrich import with_event_timestamp
 
-_RAW = schemas.RAW_EVENTS.names
-
-
-def _text(value: Column) -> Column:
-    return value.cast("string")
-
-
-def _pairs(**entries: Column) -> Column:
-    flat = [c for name, value in entries.items() for c in (F.lit(name), value)]
-    return F.create_map(*flat)
+_RAW = [*schemas.RAW_EVENTS.names, *schemas.POSITION]
+_ATTRIBUTED = [*schemas.ATTRIBUTED_EVENTS.names, *schemas.POSITION]
+
+_BASE = [
+    "event_id AS id",
+    "user_id AS uid",
+    "event_type",
+    "CAST(get_json_object(props, '$.k') AS INT) AS n",
+    "unix_seconds(CAST(ts AS TIMESTAMP)) AS base_time",
+    "CAST(round(value * 100) AS BIGINT) AS cents",
+    "props",
+]
+
+# Each row, a later copy of every 10th and an earlier copy of every 15th.
+_COPY = """
+    explode(filter(array(0, 1, 2), c ->
+        c = 0 OR (c = 1 AND id % 10 = 0) OR (c = 2 AND id % 15 = 0))) AS copy
+"""
+_COPY_TIME = "base_time + CASE copy WHEN 1 THEN 30 WHEN 2 THEN -45 ELSE 0 END AS event_time"
+
+_RAW_COLUMNS = [
+    "CAST(id AS STRING) AS event_id",
+    "CAST(uid AS STRING) AS user_id",
+    "concat('a', uid % 40) AS anonymous_id",
+    """map('utm_source', concat('s', n % 5),
+           'utm_campaign', CASE WHEN n % 6 <> 0 THEN concat('c', n % 7) END) AS utm_params""",
+    """map('gclid', CASE WHEN n % 4 = 0 THEN '' ELSE concat('g', n) END,
+           'gclid_timestamp',
+           CASE WHEN n % 20 = 7 THEN concat('x', n) ELSE CAST(event_time * 1000 AS STRING) END,
+           'fbclid', CASE WHEN n % 3 <> 0 THEN concat('f', n) END,
+           'fbclid_timestamp', CAST(event_time * 1000 AS STRING)) AS clid_params""",
+    "map('url', concat('/p/', n)) AS page_context",
+    "CAST(NULL AS MAP<STRING, STRING>) AS user_data",
+    """map('cents', CAST(cents + copy * 100 AS STRING),
+           'platform', concat('p', n % 3)) AS event_properties""",
+    "CAST(NULL AS MAP<STRING, STRING>) AS tracking_cookies",
+    "map('sdk_version', CAST(n % 2 AS STRING)) AS retrieval_source",
+    "CAST(NULL AS MAP<STRING, STRING>) AS ext_props",
+    "concat('d', uid) AS fingerprint",
+    "event_time + 2 AS report_time",
+    "event_time + 3 AS server_time",
+    "CAST(NULL AS STRING) AS gtm_preview_code",
+    "CAST(id % 3 AS INT) AS `partition`",
+    "id * 3 + copy AS `offset`",
+]
+
+_ATTRIBUTION_COLUMNS = [
+    "CASE WHEN n % 2 = 0 THEN 'google' ELSE 'facebook' END AS source",
+    "concat('g', n) AS click_id",
+    "event_time - 3600 AS click_time",
+    "CASE WHEN n % 2 = 0 THEN 'gclid' ELSE 'fbclid' END AS click_id_name",
+    "CAST(n % 3 = 0 AS INT) AS is_attributed",
+    "'last_click' AS attribution_model",
+    "'7d' AS attribution_window",
+]
+
+_EXPOSURE_COLUMNS = [
+    "CAST(id AS STRING) AS event_id",
+    "concat('/p/', n) AS page_url",
+    "concat('item', n) AS product_id",
+    "concat('store', n % 10) AS store_id",
+    "concat('scm', n % 4) AS scm",
+    "CASE WHEN id % 2 = 0 THEN 'impression' ELSE 'impression_end' END AS visible",
+    "CAST(n AS BIGINT) * 100 AS visible_duration_ms",
+    "n / 100 AS visible_ratio",
+    "concat('v', uid) AS session_id",
+    "concat('a', uid % 40) AS anonymous_id",
+    "props AS ext_json",
+    "base_time AS event_time",
+    "base_time + 2 AS report_time",
+    "base_time + 3 AS server_time",
+    "CAST(id % 3 AS INT) AS `partition`",
+    "id AS `offset`",
+]
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table; one that is read in fewer tasks than there are cores is spread out."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
-    few = events.rdd.getNumPartitions() < cores
-    return events.repartition(cores, "event_id") if few else events
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores, "event_id")
+    return events.selectExpr(*_BASE)
 
 
-def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").alias("uid"),
-        "event_type",
-        F.get_json_object("props", "$.k").cast("int").alias("n"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("base_time"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-        "props",
-    )
-
-
-def _copies(base: DataFrame) -> DataFrame:
-    """Each row, a later copy of every 10th and an earlier copy of every 15th."""
-    id_ = F.col("id")
-    wanted = F.filter(
-        F.array(F.lit(0), F.lit(1), F.lit(2)),
-        lambda c: (c == 0) | ((c == 1) & (id_ % 10 == 0)) | ((c == 2) & (id_ % 15 == 0)),
-    )
-    shift = F.when(F.col("copy") == 1, 30).when(F.col("copy") == 2, -45).otherwise(0)
-    return base.select("*", F.explode(wanted).alias("copy")).withColumn(
-        "event_time", F.col("base_time") + shift
-    )
-
-
-def _raw_columns(rows: DataFrame) -> DataFrame:
-    n, t = F.col("n"), F.col("event_time")
-    click_ms = _text(t * 1000)
-    gclid_ms = F.when(n % 20 == 7, F.concat(F.lit("x"), n)).otherwise(click_ms)
-    campaign = F.when(n % 6 != 0, F.concat(F.lit("c"), n % 7))
-    text_map = "map<string,string>"
-    return rows.withColumns(
-        {
-            "event_id": _text(F.col("id")),
-            "user_id": _text(F.col("uid")),
-            "anonymous_id": F.concat(F.lit("a"), F.col("uid") % 40),
-            "utm_params": _pairs(utm_source=F.concat(F.lit("s"), n % 5), utm_campaign=campaign),
-            "clid_params": _pairs(
-                gclid=F.when(n % 4 == 0, "").otherwise(F.concat(F.lit("g"), n)),
-                gclid_timestamp=gclid_ms,
-                fbclid=F.when(n % 3 != 0, F.concat(F.lit("f"), n)),
-                fbclid_timestamp=click_ms,
-            ),
-            "page_context": _pairs(url=F.concat(F.lit("/p/"), n)),
-            "user_data": F.lit(None).cast(text_map),
-            "event_properties": _pairs(
-                cents=_text(F.col("cents") + F.col("copy") * 100),
-                platform=F.concat(F.lit("p"), n % 3),
-            ),
-            "tracking_cookies": F.lit(None).cast(text_map),
-            "retrieval_source": _pairs(sdk_version=_text(n % 2)),
-            "ext_props": F.lit(None).cast(text_map),
-            "fingerprint": F.concat(F.lit("d"), F.col("uid")),
-            "report_time": t + 2,
-            "server_time": t + 3,
-            "gtm_preview_code": F.lit(None).cast("string"),
-            "partition": (F.col("id") % 3).cast("int"),
-            "offset": F.col("id") * 3 + F.col("copy"),
-        }
-    )
+def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _base(spark, sf_dir).selectExpr("*", _COPY).selectExpr("*", _COPY_TIME)
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _raw_columns(_copies(_base(spark, sf_dir)))
-    return with_event_timestamp(rows.select(*_RAW, "partition", "offset"))
+    rows = _copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS)
+    return with_event_timestamp(rows.select(*_RAW))
 
 
 def raw_events_by_copy(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw events in three parts: originals, later copies, earlier copies."""
-    rows = _raw_columns(_copies(_base(spark, sf_dir)))
+    rows = _copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS)
     parts = [rows.where(F.col("copy") == copy) for copy in range(3)]
-    return [with_event_timestamp(part.select(*_RAW, "partition", "offset")) for part in parts]
+    return [with_event_timestamp(part.select(*_RAW)) for part in parts]
 
 
 def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,50 +118,19 @@ def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attributed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n")
-    google = n % 2 == 0
-    rows = _raw_columns(_copies(_base(spark, sf_dir))).withColumns(
-        {
-            "source": F.when(google, "google").otherwise("facebook"),
-            "click_id": F.concat(F.lit("g"), n),
-            "click_time": F.col("event_time") - 3600,
-            "click_id_name": F.when(google, "gclid").otherwise("fbclid"),
-            "is_attributed": (n % 3 == 0).cast("int"),
-            "attribution_model": F.lit("last_click"),
-            "attribution_window": F.lit("7d"),
-        }
-    )
-    columns = [*schemas.ATTRIBUTED_EVENTS.names, "partition", "offset"]
-    return with_event_timestamp(rows.select(*columns))
+    rows = _copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS, *_ATTRIBUTION_COLUMNS)
+    return with_event_timestamp(rows.select(*_ATTRIBUTED))
 
 
 def exposure_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    id_, n, t = F.col("id"), F.col("n"), F.col("base_time")
-    rows = _base(spark, sf_dir).select(
-        _text(id_).alias("event_id"),
-        F.concat(F.lit("/p/"), n).alias("page_url"),
-        F.concat(F.lit("item"), n).alias("product_id"),
-        F.concat(F.lit("store"), n % 10).alias("store_id"),
-        F.concat(F.lit("scm"), n % 4).alias("scm"),
-        F.when(id_ % 2 == 0, "impression").otherwise("impression_end").alias("visible"),
-        (n * F.lit(100).cast("bigint")).alias("visible_duration_ms"),
-        (n / F.lit(100)).alias("visible_ratio"),
-        F.concat(F.lit("v"), F.col("uid")).alias("session_id"),
-        F.concat(F.lit("a"), F.col("uid") % 40).alias("anonymous_id"),
-        F.col("props").alias("ext_json"),
-        t.alias("event_time"),
-        (t + 2).alias("report_time"),
-        (t + 3).alias("server_time"),
-        (id_ % 3).cast("int").alias("partition"),
-        id_.alias("offset"),
-    )
-    return with_event_timestamp(rows)
+    return with_event_timestamp(_base(spark, sf_dir).selectExpr(*_EXPOSURE_COLUMNS))
 
 
 def as_topic(events: DataFrame) -> DataFrame:
     """Rows as JSON topic records; NULL fields are left out."""
-    fields = [c for c in events.columns if c not in ("partition", "offset", "event_timestamp")]
-    return events.select(F.to_json(F.struct(*fields)).alias("value"), "partition", "offset")
+    derived = [*schemas.POSITION, "event_timestamp"]
+    fields = [c for c in events.columns if c not in derived]
+    return events.select(F.to_json(F.struct(*fields)).alias("value"), *schemas.POSITION)
 
 
 def damaged(topic: DataFrame) -> DataFrame:
