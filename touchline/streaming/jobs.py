@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from touchline import schemas
 from touchline.operators import clicks, enrich
 from touchline.operators.decode import decode
+from touchline.session import configure
 from touchline.sinks import archive, changelog, click_store
 from touchline.streaming.best_rows import STATE_TTL_SECONDS, BestRows, batch_clock
 from touchline.streaming.health import observed
@@ -35,7 +36,11 @@ Write = Callable[[DataFrame, datetime, int], None]
 
 
 def stamped(records: DataFrame, schema) -> DataFrame:
-    """Decoded rows with the processing time of their micro-batch."""
+    """Decoded rows with the processing time of their micro-batch.
+
+    The session is put on UTC first, because hours are cut from UTC instants.
+    """
+    configure(records.sparkSession)
     return observed(enrich.with_processed_time(decode(records, schema)))
 
 
