@@ -32,13 +32,15 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret scans with linked credential parts."""
-    kinds = secrets.KINDS
     found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
-    many = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["rank"] == kinds.index(k))).cast("bigint") for k in kinds[:3]}
+
+    def many(kind: str):
+        return F.size(F.filter("spans", lambda s: s["rank"] == secrets.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+
     base = secrets.listed(F.filter("spans", lambda s: s["rank"] < 3))
     return found.select(
         "doc_id",
-        *(n.alias(name) for name, n in many.items()),
+        *map(many, secrets.KINDS[:3]),
         F.sha2(base.cast("binary"), 256).alias("base_sha256"),
         secrets.listed(F.col("spans")).alias("spans"),
     )
