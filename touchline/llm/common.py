@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -16,8 +17,21 @@ GAP = r"[\x20\x09-\x0D]+"
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did.
+
+    Needed where the driver found it by its own search path only; on a cluster the
+    package is installed on the executors and the folder is searched in vain.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,21 +65,18 @@ def text_keys() -> list[Column]:
     return [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")]
 
 
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=64)
+def powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to 2**bits - 1 of the hash base and of its inverse."""
+
     def series(base: int) -> np.ndarray:
-        steps = np.full(size, base, dtype=np.uint64)
+        steps = np.full(1 << bits, base, dtype=np.uint64)
         steps[0] = 1
         return np.multiply.accumulate(steps)
 
     return series(_BASE), series(pow(_BASE, -1, 1 << 64))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, at least ``n`` of each."""
-    return _powers(1 << max(16, int(n).bit_length()))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a finaliser of multiplications and shifts)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -75,7 +86,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of ``values[s:e]`` for each pair, from one running sum."""
-    up, down = powers(len(values) + 1)
+    up, down = powers(max(14, len(values).bit_length()))
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(values)], out=sums[1:])
     return (sums[ends] - sums[starts]) * down[starts]
@@ -89,14 +100,11 @@ def lower_ascii(points: np.ndarray) -> np.ndarray:
     return np.where((points >= 65) & (points <= 90), points + np.uint32(32), points)
 
 
-def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the stretches where ``inside`` holds."""
-    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
 def word_spans(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return runs(~((points == 32) | ((points >= 9) & (points <= 13))))
+    """Starts and ends of the words."""
+    inside = (points != 32) & ((points - np.uint32(9)) > 4)
+    edge = np.flatnonzero(np.concatenate(([False], inside)) != np.concatenate((inside, [False])))
+    return edge[::2], edge[1::2]
 
 
 def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -115,3 +123,31 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     starts = np.arange(n)
     return mix(_ranges(hashes, starts, starts + size))
+
+
+def sampled(key: Column, share: float) -> Column:
+    """Whether a row belongs to a sample of about ``share``, decided by a hash of ``key``."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(min(1.0, share) * (1 << 30)))
+
+
+def labelled(docs: DataFrame, marks: DataFrame, column: str, use: Column) -> DataFrame:
+    """``text, label`` of the rows of ``docs`` that ``use`` allows and that have a label."""
+    known = marks.select(F.col("doc_id").alias("marked"), F.col(column).cast("int").alias("label")).where("label in (0, 1)")
+    rows = docs.where(use).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.join(known, F.col("doc_id") == F.col("marked")).select("text", "label")
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
+    """Weights (bias first) of a ridge logistic regression, by Newton's method."""
+    scale = x.std(axis=0) + 1e-9
+    design = np.column_stack([np.ones(len(x)), x / scale])
+    w = np.zeros(design.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        slope = design.T @ (p - y) + ridge * w
+        curve = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        w -= np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-6:
+            break
+    return np.concatenate([w[:1], w[1:] / scale])

@@ -14,38 +14,27 @@ rows and null ids are packed like any other; an empty table gives an empty resul
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from touchline.llm.bpe import Memory, load_tokenizer
+from touchline.llm.bpe import codec
 from touchline.llm.common import as_table
 
 CAPACITY = 2048
 END = 0  # the id that closes every document
 RANKS = 1 << 40  # more than any length has pieces
 
-# One space between two visible characters always starts a new stretch of this vocabulary.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-@lru_cache(maxsize=4)
-def _memory(path: str) -> Memory:
-    return Memory(load_tokenizer(path), lambda ids: array("I", ids).tobytes())
-
 
 def encode(path: str, text: str | None) -> bytes:
     """Token ids of one text as little-endian 32-bit numbers."""
-    first, *rest = _CUT.split(text or "")
-    return b"".join(_memory(path)([first, *[" " + r for r in rest]]))
+    return array("I", codec(path).encode(text or "")).tobytes()
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
