@@ -1,0 +1,73 @@
+"""DuckDB SQL for the operators that SQL can express, on whole tables."""
+
+from __future__ import annotations
+
+from touchline.llm.neardup import PERCENT, SHINGLE
+from touchline.llm.quality_rules import MAX_REPEATED_PERCENT, MIN_WORDS, RULES, SYMBOLS
+from touchline.llm.substrings import WINDOW
+
+GAP = r"[\x20\x09-\x0D]+"
+
+QUALITY_RULES = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '{GAP}'), lambda x: x <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), repeated AS (
+  SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+  FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1
+), covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM repeated GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '{SYMBOLS}'))::BIGINT AS n_symbols, coalesce(lines.n, 0)::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS n_upper,
+         len(regexp_extract_all(t, '!')) AS n_bangs, len(string_split(t, chr(10))) AS n_lines
+  FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
+), b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR {" OR ".join(f"({r})" for r in RULES.values())}) AS kept
+FROM b
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '{GAP}'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {SHINGLE - 1}], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - {SHINGLE - 2}))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b USING (x) JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= {PERCENT} * (na.n + nb.n - count(*))
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least.component_id, d.doc_id) AS component_id,
+       coalesce(least.component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+SUBSTRINGS = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{GAP}'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d)
+), hit AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY x) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN covered USING (doc_id)
+"""

@@ -5,18 +5,46 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import bpe, fingerprints, packing, quality_rules, secrets
-from touchline.llm.common import documents
+from touchline.llm import (
+    bpe,
+    fingerprints,
+    language,
+    neardup,
+    oracles,
+    packing,
+    quality_model,
+    quality_rules,
+    secrets,
+    substrings,
+    toxicity,
+)
+from touchline.llm.common import documents, fold, labelled, labels, text_keys, words_of
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 
+# Held-out folds (remainder, folds) and the scores from which a label is predicted.
+LANGUAGE_HELD, TOXIC_HELD, QUALITY_HELD = (2, 4), (1, 3), (0, 5)
+TOXIC_FROM, QUALITY_FROM = 0.7, 0.3
+
+
+def held_out(which: tuple[int, int]):
+    return fold(F.col("doc_id"), which[1]) == which[0]
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding by tree concatenation."""
     return bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path(WORD_VOCABULARY), full=False)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language identification by clustered centroids."""
+    docs = documents(spark, sf_dir)
+    model = language.learn(docs.where(~held_out(LANGUAGE_HELD)))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out(LANGUAGE_HELD).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules as a short-circuit cascade."""
     return quality_rules.quality_rules(documents(spark, sf_dir)).select(
@@ -46,10 +74,74 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes by SetSketch registers."""
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity by class-conditional Kneser-Ney models."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(labelled(docs, labels(spark, sf_dir), "toxic", ~held_out(TOXIC_HELD)))
+    return _judged(toxicity.score(docs, model), TOXIC_HELD, TOXIC_FROM)
+
+
+def quality_network(docs: DataFrame, marks: DataFrame) -> quality_model.Network:
+    return quality_model.learn(docs, labelled(docs, marks, "quality", ~held_out(QUALITY_HELD)))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality by pooled random-indexing vectors and a two-layer network."""
+    docs = documents(spark, sf_dir)
+    return _judged(quality_model.score(docs, quality_network(docs, labels(spark, sf_dir))), QUALITY_HELD, QUALITY_FROM)
+
+
+def _judged(scored: DataFrame, held: tuple[int, int], least: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out(held).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted")
+    )
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated windows of words."""
+    docs = documents(spark, sf_dir)
+
+    def digest(words):
+        return F.sha2(F.array_join(words, " ").cast("binary"), 256)
+
+    found = substrings.find_repeats(docs).select("h1", "h2", "n_removed", digest(words_of(F.col("cleaned"))).alias("cut"))
+    whole = docs.select("doc_id", *text_keys(), words_of(F.col("text")).alias("words"))
+    narrow = whole.select("doc_id", "h1", "h2", F.size("words").cast("bigint").alias("n_words"), digest(F.col("words")).alias("uncut"))
+    return narrow.join(found, ["h1", "h2"], "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"),
+        F.coalesce("cut", "uncut").alias("kept_sha256"),
+    )
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document fingerprints by closed syncmers."""
     return fingerprints.fingerprint_edits(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_quality_rules, op4_packing, op5_secrets, op10_fingerprints)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe,
+        op2_language,
+        op3_quality_rules,
+        op4_packing,
+        op5_secrets,
+        op6_neardup,
+        op7_toxicity,
+        op8_quality,
+        op9_substrings,
+        op10_fingerprints,
+    )
+}
+ORACLES = {
+    "op3_quality_rules": oracles.QUALITY_RULES,
+    "op6_neardup": oracles.NEAR_DUPLICATES,
+    "op9_substrings": oracles.SUBSTRINGS,
+}
