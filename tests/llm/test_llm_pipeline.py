@@ -4,7 +4,7 @@ from test_llm_bpe import check_packing
 from touchline.llm.common import documents
 from touchline.llm.queries import op8_quality
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.001"
 
 
 def test_stages_match_brute_force(spark, folder):
@@ -24,10 +24,8 @@ def test_stages_match_brute_force(spark, folder):
             judged = {r["doc_id"] for r in op8_quality(spark, SF).collect() if r["predicted"]}
             assert set(kept) == judged
         elif name == "near-duplicates":
-            small = [(i, t) for i, t in texts.items() if len(t) < 4000]
-            classes = brute.components(small)
-            assert {i for i in kept if i in classes} <= set(texts)
-            assert len(set(classes.values()) - set(kept)) <= len(texts) - len(small)
+            classes = brute.components(list(texts.items()))
+            assert set(kept) == {i for i, least in classes.items() if i == least}
         elif name == "substring dedup":
             stays = brute.without_repeats(texts.values())
             assert {i: brute.words(t) for i, t in kept.items()} == dict(zip(texts, stays))
@@ -37,7 +35,7 @@ def test_stages_match_brute_force(spark, folder):
             assert all(kept[i] == t for i, t in texts.items() if not brute.base_spans(t))
         elif name == "best-fit packing":
             used, least = check_packing(after, texts)
-            assert used <= least + 1
+            assert used <= 1.02 * least + 1
 
 
 def test_empty_input(spark, tables):
