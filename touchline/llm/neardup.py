@@ -14,9 +14,10 @@ No bucket is ever expanded into all its pairs:
 2. In each bucket every class is compared with one pivot, the class that shares most buckets
    with others.  That links a group of near copies to its middle in one round.
 3. Only classes still apart from others of their bucket are left.  What such a class shares
-   with any other is at most what is not unique to it; that bounds its similarity, exactly.
-   Classes that cannot reach the threshold drop out, and the rest are compared with all
-   other components of their buckets.
+   with another component is at most what occurs outside its own; that bounds its similarity,
+   exactly, and classes that cannot reach the threshold drop out.
+4. The rest are compared with a second pivot, the class of their bucket that has least of its
+   own, and then with all classes of other components of their bucket within the bound.
 
 Defined results: null, empty or blank text has an empty set and is linked with nothing; a
 text of fewer words than a shingle is one shingle; rows with a null id belong to their class
@@ -124,7 +125,8 @@ def _contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         each = [np.frombuffer(f, dtype=np.int64) for f in batch["found"]]
         if each:
-            yield pd.DataFrame({"cid": np.repeat(batch["cid"].to_numpy(), [len(e) for e in each]), "shingle": np.concatenate(each)})
+            sizes = [len(e) for e in each]
+            yield pd.DataFrame({c: np.repeat(batch[c].to_numpy(), sizes) for c in ("cid", "label")} | {"shingle": np.concatenate(each)})
 
 
 def check_pairs(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -166,25 +168,54 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(mixed.select("bucket"), "bucket")
 
 
-def _remaining_pairs(apart: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of one bucket, of different components, that could still be similar enough."""
-    held = sets.join(apart.select("cid").distinct(), "cid", "left_semi")
-    shingle = held.mapInPandas(_contents, "cid bigint, shingle bigint")
-    alone = shingle.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid")).where("n = 1")
-    unique = alone.groupBy("cid").agg(F.count(F.lit(1)).alias("unique"))
-    sized = apart.join(unique, "cid", "left").withColumn("common", F.col("n") - F.coalesce("unique", F.lit(0)))
-    # Of a class's shingles at most ``common`` are in another class: similarity is bounded by them.
-    bound = lambda common, n, other: (100 + PERCENT) * common >= PERCENT * (n + other)
+def _bounded(common, n, other):
+    """Whether two sets can be similar enough if they share at most ``common`` shingles."""
+    return (100 + PERCENT) * common >= PERCENT * (n + other)
+
+
+def _able(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``apart`` that can still be similar enough to another component's class.
+
+    ``common`` is how many of a class's shingles occur in another component at all.
+    """
+    owners = apart.select("cid", "label").distinct()
+    held = sets.join(owners, "cid").select("cid", "label", "found").mapInPandas(_contents, "cid bigint, label bigint, shingle bigint")
+    held = as_table(held, "neardup-shingles")
+    spread = held.groupBy("shingle").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    common = held.join(spread.select("shingle"), "shingle").groupBy("cid").agg(F.count(F.lit(1)).alias("common"))
+    sized = apart.select("bucket", "band", "cid", "n").join(common, "cid")
     least = apart.groupBy("bucket").agg(F.min("n").alias("least"))
-    able = sized.join(least, "bucket").where(
-        bound(F.col("common"), F.col("n"), F.greatest("least", F.ceil(F.col("n") * PERCENT / 100)))
-    )
-    able = as_table(able.select("bucket", "cid", "label", "n", "common"), "neardup-able")
-    main = able.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("many")).groupBy("bucket").agg(F.max_by("label", "many").alias("main"))
-    strays = able.join(main, "bucket").where("label <> main").select("bucket", *(F.col(c).alias(f"s_{c}") for c in ("cid", "label", "n", "common", "main")))
+    other = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))
+    able = sized.join(least, "bucket").where(_bounded(F.col("common"), F.col("n"), other))
+    return as_table(able.select("bucket", "band", "cid", "n", "common"), "neardup-able")
+
+
+def _second_pairs(able: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each class of another component with its bucket's class that has most in common."""
+    named = _apart(able, labels)
+    pivots = named.groupBy("bucket").agg(F.max_by("cid", F.col("common") / F.col("n")).alias("pivot"))
+    owner = labels.select(F.col("cid").alias("pivot"), F.col("label").alias("main"))
+    owned = pivots.join(owner, "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+    met = named.join(owned, "bucket").where("label <> main")
+    return met.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct()
+
+
+def _remaining_pairs(able: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of one bucket, of different components, that could still be similar enough.
+
+    A pair that shares several buckets comes from the first of its bands only.
+    """
+    named = as_table(_apart(able, labels).join(classes.select("cid", "registers"), "cid"), "neardup-apart")
+    many = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("many"))
+    main = many.groupBy("bucket").agg(F.max_by("label", "many").alias("main"))
+    mine = [F.col(c).alias(f"s_{c}") for c in ("cid", "label", "n", "common", "main", "registers")]
+    strays = named.join(main, "bucket").where("label <> main").select("bucket", *mine)
     other = (F.col("label") != F.col("s_label")) & ((F.col("label") == F.col("s_main")) | (F.col("s_cid") < F.col("cid")))
-    met = strays.join(able, "bucket").where(other & bound(F.least("common", "s_common"), F.col("n"), F.col("s_n")))
-    return met.select(F.col("s_cid").alias("a"), F.col("cid").alias("b")).distinct()
+    part = lambda registers: f"substring({registers}, b * {ROWS} + 1, {ROWS})"
+    earlier = F.expr(f"band > 0 AND exists(sequence(0, greatest(band - 1, 0)), b -> {part('registers')} = {part('s_registers')})")
+    within = _bounded(F.least("common", "s_common"), F.col("n"), F.col("s_n"))
+    met = strays.join(named, "bucket").where(other & within & ~earlier)
+    return met.select(F.col("s_cid").alias("a"), F.col("cid").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -202,7 +233,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     banded = classes.select("cid", "n", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     bucket = F.xxhash64("band", F.expr(f"substring(registers, band * {ROWS} + 1, {ROWS})"))
-    banded = banded.select(bucket.alias("bucket"), "cid", "n")
+    banded = banded.select(bucket.alias("bucket"), "band", "cid", "n")
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = as_table(banded.join(shared, "bucket"), "neardup-members")
 
@@ -217,9 +248,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = met.groupBy(F.col("cid").alias("a")).agg(F.max_by("pivot", "bands").alias("b"))
     links = as_table(check_pairs(first, classes, sets), "neardup-links")
 
-    apart = as_table(_apart(members.select("bucket", "cid", "n"), components(links)), "neardup-apart")
-    more = as_table(check_pairs(_remaining_pairs(apart, sets), classes, sets), "neardup-links")
-    labels = components(links.union(more))
+    labels = components(links)
+    apart = as_table(_apart(members.select("bucket", "band", "cid", "n"), labels), "neardup-apart")
+    able = _able(apart, sets)
+    second = as_table(check_pairs(_second_pairs(able, labels), classes, sets), "neardup-links")
+    labels = components(links.union(second))
+    apart = as_table(_apart(able.select("bucket", "band", "cid", "n"), labels), "neardup-apart")
+    more = as_table(check_pairs(_remaining_pairs(_able(apart, sets), labels, classes), classes, sets), "neardup-links")
+    labels = components(links.union(second).union(more))
 
     named = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     keyed = classes.select("key", "cid").join(named, "key").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
