@@ -84,11 +84,9 @@ def likeness(a: Column, b: Column, shift: int = SHIFT) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(met / total)
 
 
-def with_next(docs: DataFrame, columns: list[str], prepare=lambda rows: rows) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``next``, a struct of ``columns`` of the row after, by ``doc_id``; the last gets the first.
 
-    ``prepare`` adds columns once all rows that are needed are there.
-
     Rows go to buckets of consecutive ids, whose bounds are quantiles of all ids, and are
     ordered within a bucket; a bucket also gets a copy of the row that follows its last.
     """
@@ -108,7 +106,7 @@ def with_next(docs: DataFrame, columns: list[str], prepare=lambda rows: rows) ->
     heads = [r["bucket"] for r in firsts.select("bucket").orderBy("bucket").collect()]
     before = {b: heads[i - 1] for i, b in enumerate(heads)}
     if not before:
-        return prepare(rows).withColumn("next", F.struct(*columns)).drop("bucket", "tie", "guard")
+        return rows.withColumn("next", F.struct(*columns)).drop("bucket", "tie", "guard")
     moved = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
     guards = (
         rows.join(F.broadcast(firsts), "bucket")
@@ -118,7 +116,7 @@ def with_next(docs: DataFrame, columns: list[str], prepare=lambda rows: rows) ->
         .select("r.*", moved[F.col("bucket")].alias("bucket"), F.lit(True).alias("guard"))
     )
     w = Window.partitionBy("bucket").orderBy("guard", F.col("doc_id").asc_nulls_first(), "tie")
-    following = prepare(rows.unionByName(guards)).withColumn("next", F.lead(F.struct(*columns)).over(w))
+    following = rows.unionByName(guards).withColumn("next", F.lead(F.struct(*columns)).over(w))
     return following.where(~F.col("guard")).drop("bucket", "tie", "guard")
 
 
@@ -129,12 +127,20 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     source = docs.select("doc_id", text.alias("text"))
-    joined = with_next(source, ["text", "own"], lambda rows: rows.withColumn("own", anchors(F.col("text"))))
+    # Only texts are shuffled: anchors take more room than the text, and little time.
+    joined = with_next(source, ["text"])
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - quarter), F.substring(F.col("next.text"), F.lit(1), quarter))
     return (
-        joined.select("doc_id", "own", F.col("next.own").alias("following"), F.length("text").cast("bigint").alias("n_chars"), edited.alias("edited"))
-        .withColumn("other", anchors(F.col("edited")))
+        joined.select("doc_id", "text", F.col("next.text").alias("after"), edited.alias("edited"))
+        .select(
+            "doc_id",
+            "edited",
+            F.length("text").cast("bigint").alias("n_chars"),
+            anchors(F.col("text")).alias("own"),
+            anchors(F.col("edited")).alias("other"),
+            anchors(F.col("after")).alias("following"),
+        )
         .select(
             "doc_id",
             "n_chars",
