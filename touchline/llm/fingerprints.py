@@ -110,7 +110,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     moved = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
     guards = (
         rows.join(F.broadcast(firsts), "bucket")
-        .where(order == F.col("least"))
+        .where(order.eqNullSafe(F.col("least")))
         .groupBy("bucket")
         .agg(F.first(F.struct(*docs.columns, "tie")).alias("r"))
         .select("r.*", moved[F.col("bucket")].alias("bucket"), F.lit(True).alias("guard"))
