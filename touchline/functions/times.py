@@ -7,10 +7,17 @@ from pyspark.sql import Column, functions as F
 # Fixed value: the archive is partitioned by wall-clock hour at UTC+8.
 PARTITION_OFFSET = "INTERVAL 8 HOURS"
 
+# The seconds that a timestamp of four-digit years can hold.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
 
 def event_timestamp(seconds: Column | str = "event_time") -> Column:
-    """Unix seconds as an instant."""
-    return F.timestamp_seconds(seconds)
+    """Unix seconds as an instant; NULL outside the years 1 to 9999.
+
+    One record with a time in another unit must not stop a stream.
+    """
+    number = F.col(seconds) if isinstance(seconds, str) else seconds
+    return F.when(number.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(number))
 
 
 def processing_clock(clock: Column | None = None) -> Column:

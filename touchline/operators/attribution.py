@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from touchline.operators.dedup import dedup_events
+
 # Fixed value: the event type that counts as a conversion.
 CONVERSION = "conversion"
 
+# Our choice: over how many partitions the conversions of one user are spread.
+SALTS = 16
+
 
 def _conversions(events: DataFrame, event_type: str) -> DataFrame:
     return events.where(F.col("event_type") == event_type)
@@ -57,26 +62,27 @@ def first_session(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("user_id").agg(best).select("user_id", "touch.*")
 
 
+def unique_conversions(events: DataFrame, event_type: str = CONVERSION) -> DataFrame:
+    """One row per conversion id: the earliest copy, as the event dedup keeps it."""
+    return dedup_events(_conversions(events, event_type))
+
+
 def first_touch(
     events: DataFrame,
     sessions: DataFrame,
     event_type: str = CONVERSION,
-    hot_rows: int = 1_000_000,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """One row per conversion: the channel of the user's earliest session.
+    """One row per conversion id: the channel of the user's earliest session.
 
-    Users with more than ``hot_rows`` conversions are joined by broadcast, so
-    none of their rows is shuffled; there are at most ``rows / hot_rows`` of
-    them, which bounds what is broadcast.  All others are joined by shuffle.
+    Conversions are spread over ``salts`` partitions per user, and the one touch
+    of each user is repeated for every salt, so a user with a third of all
+    conversions is no single task, whatever the size.
     """
-    conversions = _conversions(events, event_type)
-    touches = first_session(sessions)
-    counts = conversions.groupBy("user_id").agg(F.count(F.lit(1)).alias("rows"))
-    hot_users = F.broadcast(counts.where(F.col("rows") > hot_rows).select("user_id"))
-
-    hot_touches = F.broadcast(touches.join(hot_users, "user_id", "left_semi"))
-    hot = conversions.join(hot_touches, "user_id", "inner")
-    cold = conversions.join(hot_users, "user_id", "left_anti").join(touches, "user_id", "inner")
-    return hot.unionByName(cold).select(
+    spread = F.pmod(F.xxhash64("event_id"), F.lit(salts)).alias("salt")
+    conversions = unique_conversions(events, event_type).select("*", spread)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    touches = first_session(sessions).select("*", every.alias("salt"))
+    return conversions.join(touches, ["user_id", "salt"]).select(
         *_attributed(F.col("first_touch_channel"), F.col("first_touch_campaign"), "first_touch")
     )

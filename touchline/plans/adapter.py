@@ -88,12 +88,7 @@ _EXPOSURE_COLUMNS = [
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table; one that is read in fewer tasks than there are cores is spread out."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores, "event_id")
-    return events.selectExpr(*_BASE)
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_BASE)
 
 
 def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +132,8 @@ def damaged(topic: DataFrame) -> DataFrame:
     """Records with the defects a decoder meets, chosen by offset.
 
     Broken and non-object records, a quoted, a fractional and an unusable
-    number, a map that is text, an unknown field, and text after the object.
+    number, a time in microseconds, a map that is text, an unknown field, and
+    text after the object.
     """
     value, offset = F.col("value"), F.col("offset")
     time = r'"event_time":(\d+)'
@@ -150,6 +146,7 @@ def damaged(topic: DataFrame) -> DataFrame:
         .when(offset % 13 == 6, F.regexp_replace(value, r'"utm_params":\{[^}]*\}', '"utm_params":"t"'))
         .when(offset % 13 == 7, F.regexp_replace(value, r"^\{", '{"unknown":[1],'))
         .when(offset % 13 == 8, F.concat(value, F.lit(" tail")))
+        .when(offset % 13 == 9, F.regexp_replace(value, r'(?<="event_time":\d{10})', "000000"))
         .otherwise(value)
     )
     return topic.withColumn("value", broken)

@@ -17,9 +17,10 @@ SELECT event_id, event_type, user_id, anonymous_id,
        CASE WHEN pos % 13 = 6 THEN NULL ELSE utm_source END AS utm_source,
        CASE WHEN pos % 13 = 6 THEN NULL ELSE utm_campaign END AS utm_campaign,
        gclid, gclid_ms, fbclid, cents,
-       CASE WHEN pos % 13 = 5 THEN NULL ELSE event_time END AS event_time,
+       CASE WHEN pos % 13 = 5 THEN NULL WHEN pos % 13 = 9 THEN event_time * 1000000
+            ELSE event_time END AS event_time,
        server_time,
-       CASE WHEN pos % 13 = 5 THEN NULL ELSE make_timestamp(event_time * 1000000) END
+       CASE WHEN pos % 13 IN (5, 9) THEN NULL ELSE make_timestamp(event_time * 1000000) END
          AS event_timestamp,
        part AS topic_partition, pos AS topic_offset
 FROM raw WHERE pos % 11 NOT IN (3, 4)

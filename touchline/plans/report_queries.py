@@ -54,7 +54,12 @@ def first_touch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _SESSIONS_SQL
-    + """, first_session AS (
+    + """, conversions AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (
+      PARTITION BY event_id ORDER BY event_time ASC NULLS FIRST, part, pos) AS rn
+    FROM raw WHERE event_type = 'purchase') WHERE rn = 1
+), first_session AS (
   SELECT * FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY session_start, session_id) AS rn
     FROM user_sessions) WHERE rn = 1
@@ -62,14 +67,13 @@ def first_touch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id AS conversion_id, r.user_id, event_type AS conversion_type,
        event_time AS conversion_time, first_touch_channel AS attributed_channel,
        first_touch_campaign AS attributed_campaign, 'first_touch' AS attribution_model
-FROM raw r JOIN first_session s ON r.user_id = s.user_id
-WHERE event_type = 'purchase' AND copy = 0
+FROM conversions r JOIN first_session s ON r.user_id = s.user_id
 """
 )
 def first_touch_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversion with the user's earliest session."""
-    touches = sessions.user_sessions(adapter.raw_events(spark, sf_dir))
-    return attribution.first_touch(adapter.unique_events(spark, sf_dir), touches, _CONVERSION)
+    events = adapter.raw_events(spark, sf_dir)
+    return attribution.first_touch(events, sessions.user_sessions(events), _CONVERSION)
 
 
 @query("""

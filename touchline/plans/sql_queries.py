@@ -1,63 +1,63 @@
-"""The jobs written as Spark SQL over topic views."""
+"""Reports that a user writes in Spark SQL over the operators' results."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from touchline.operators.clicks import explode_clicks
+from touchline.operators.decode import decode
+from touchline.operators.dedup import dedup_events
+from touchline.operators.enrich import with_event_timestamp
 from touchline.plans import adapter
 from touchline.plans.catalog import query
-from touchline.sources.views import create_topic_view
+from touchline import schemas
 
 
-def _raw_view(spark: SparkSession, sf_dir: str) -> None:
-    create_topic_view(adapter.as_topic(adapter.raw_events(spark, sf_dir)), "raw_events")
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = adapter.as_topic(adapter.raw_events(spark, sf_dir))
+    return with_event_timestamp(decode(topic, schemas.RAW_EVENTS))
 
 
 @query("""
-SELECT event_id, event_type, event_time, cents, 'deduplicated' AS processing_status FROM (
-  SELECT *, ROW_NUMBER() OVER (
-    PARTITION BY event_id ORDER BY event_time ASC NULLS FIRST, part, pos) AS row_num FROM raw)
-WHERE row_num = 1
+, firsts AS (
+  SELECT event_type, event_time // 3600 AS hour, user_id, cents,
+         ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY event_time, part, pos) AS rn FROM raw
+)
+SELECT event_type, hour, count(*) AS events, count(DISTINCT user_id) AS users,
+       CAST(sum(CAST(cents AS BIGINT)) AS BIGINT) AS cents
+FROM firsts WHERE rn = 1 GROUP BY event_type, hour HAVING count(*) > 1
 """)
 def sql_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Earliest copy per event, in SQL."""
-    _raw_view(spark, sf_dir)
+    """Events, users and revenue per hour, in SQL over deduplicated events."""
+    dedup_events(_decoded(spark, sf_dir)).createOrReplaceTempView("distinct_events")
     return spark.sql(
         """
-        SELECT event_id, event_type, event_time, event_properties['cents'] AS cents,
-               :status AS processing_status
-        FROM (
-          SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY event_id ORDER BY event_time ASC, `partition`, `offset`) AS row_num
-          FROM IDENTIFIER(:events))
-        WHERE row_num = 1
+        SELECT event_type, event_time DIV 3600 AS hour, count(*) AS events,
+               count(DISTINCT user_id) AS users,
+               sum(CAST(event_properties['cents'] AS BIGINT)) AS cents
+        FROM IDENTIFIER(:events)
+        GROUP BY event_type, hour
+        HAVING count(*) > :least
         """,
-        args={"events": "raw_events", "status": "deduplicated"},
+        args={"events": "distinct_events", "least": 1},
     )
 
 
 @query("""
-SELECT event_id, anonymous_id, k, v, click_time FROM (
-  SELECT *, ROW_NUMBER() OVER (
-    PARTITION BY anonymous_id, k, v
-    ORDER BY click_time DESC NULLS LAST, event_time ASC NULLS FIRST, part, pos) AS row_num
-  FROM entries)
-WHERE row_num <= 1
+SELECT k AS channel, utm_campaign AS campaign, count(*) AS clicks, count(DISTINCT v) AS click_ids,
+       count(click_time) AS timed, max(click_time) AS newest
+FROM entries GROUP BY k, utm_campaign
 """)
 def sql_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest sighting per click id, in SQL."""
-    _raw_view(spark, sf_dir)
+    """Clicks per channel and campaign, in SQL over the unnested clicks."""
+    entries = explode_clicks(_decoded(spark, sf_dir))
+    campaign = F.col("utm_params")["utm_campaign"].alias("campaign")
+    entries.select("k", "v", "click_time", campaign).createOrReplaceTempView("click_entries")
     return spark.sql(
-        r"""
-        SELECT event_id, anonymous_id, k, v, click_time
-        FROM (
-          SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY anonymous_id, k, v
-            ORDER BY click_time DESC, event_time ASC, `partition`, `offset`) AS row_num
-          FROM (
-            SELECT *, TRY_CAST(clid_params[k || '_timestamp'] AS BIGINT) AS click_time
-            FROM raw_events LATERAL VIEW explode(clid_params) AS k, v)
-          WHERE k NOT LIKE '%_timestamp' AND v IS NOT NULL AND v <> '')
-        WHERE row_num <= 1
+        """
+        SELECT k AS channel, campaign, count(*) AS clicks, count(DISTINCT v) AS click_ids,
+               count(click_time) AS timed, max(click_time) AS newest
+        FROM click_entries
+        GROUP BY k, campaign
         """
     )

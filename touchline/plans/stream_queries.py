@@ -45,7 +45,8 @@ def _drain(writer: DataStreamWriter) -> None:
 # What the damaged topic decodes to: broken records gone, some times NULL.
 _DECODABLE_SQL = """
 , decodable AS (
-  SELECT * REPLACE (CASE WHEN pos % 13 = 5 THEN NULL ELSE event_time END AS event_time,
+  SELECT * REPLACE (CASE WHEN pos % 13 = 5 THEN NULL WHEN pos % 13 = 9 THEN event_time * 1000000
+                         ELSE event_time END AS event_time,
                     CASE WHEN pos % 13 = 6 THEN NULL ELSE utm_source END AS utm_source,
                     CASE WHEN pos % 13 = 6 THEN NULL ELSE utm_campaign END AS utm_campaign)
   FROM raw WHERE pos % 11 NOT IN (3, 4)
