@@ -19,9 +19,9 @@ def raw(spark, *rows):
     return base.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
 
 
-def put(spark, path, batch_id, now, *rows):
+def put(spark, path, batch_id, now, *rows, generation=0):
     out = enrich.to_event_archive(raw(spark, *rows), F.lit(now))
-    archive.upsert_archive(out, path, now, batch_id)
+    archive.upsert_archive(out, path, commits.commit_id(generation, batch_id))
 
 
 def stored(table):
@@ -47,7 +47,9 @@ def test_archive_upserts_within_the_hour_and_survives_replay(spark, folder):
 
 def test_a_new_query_over_the_same_archive_loses_nothing(spark, folder):
     put(spark, folder, 0, NOW, ("a", 1))
-    put(spark, folder, 0, NOW + timedelta(seconds=5), ("b", 2))
+    second = commits.generation(spark, f"{folder}-cp", [folder])
+    assert second == 1 == commits.generation(spark, f"{folder}-cp", [folder])
+    put(spark, folder, 0, NOW + timedelta(seconds=5), ("b", 2), generation=second)
     assert [i for i, *_ in stored(archive.read_archive(spark, folder))] == ["a", "b"]
 
 
@@ -63,6 +65,18 @@ def test_compacted_archive_reads_the_same_and_takes_later_commits(spark, folder)
     assert [t for _, t, *_ in stored(archive.read_archive(spark, target, live))] == [50, 7]
 
 
+def test_a_clock_that_steps_back_does_not_change_the_order_of_writes(spark, folder):
+    put(spark, folder, 0, NOW, ("a", 100))
+    put(spark, folder, 1, NOW - timedelta(seconds=5), ("a", 50))
+    assert [t for _, t, *_ in stored(archive.read_archive(spark, folder))] == [50]
+
+
+def test_archive_dedup_rejects_an_unknown_rule(spark, folder):
+    put(spark, folder, 0, NOW, ("a", 100))
+    with pytest.raises(ValueError):
+        archive.dedup_archive(archive.read_archive(spark, folder), keep="any")
+
+
 def test_last_arrivals_need_a_source_position(spark):
     rows = enrich.to_event_archive(raw(spark, ("a", 1)), F.lit(NOW))
     with pytest.raises(ValueError):
@@ -99,17 +113,21 @@ def items(spark, *rows):
 
 
 def test_click_store_replaces_whole_items(spark, folder):
-    click_store.put_items(items(spark, ("v", "g", 9000, "u"), ("v", "g", 8000, "w")), folder, NOW, 0)
-    later = NOW + timedelta(seconds=1)
+    ids = [commits.commit_id(0, batch_id) for batch_id in range(4)]
+    both = items(spark, ("v", "g", 9000, "u"), ("v", "g", 8000, "w"))
+    click_store.put_items(both, folder, ids[0])
     for _ in range(2):
-        click_store.put_items(items(spark, ("x", "g", 1000, "u")), folder, later, 1)
+        click_store.put_items(items(spark, ("x", "g", 1000, "u")), folder, ids[1])
     at = F.timestamp_seconds(F.lit(0))
     found = {(r.fingerprint, r.user_id) for r in click_store.read_items(spark, folder, now=at).collect()}
     assert found == {("v", "u"), ("x", "u")}
-    # A later write wins whatever its click time, and NULLs replace values.
-    click_store.put_items(items(spark, ("v", "g", 5000, None)), folder, later, 2)
+    # An older click in a later batch loses; of one click the last write counts, NULLs too.
+    click_store.put_items(items(spark, ("v", "g", 5000, "w")), folder, ids[2])
+    (v,) = click_store.read_items(spark, folder, now=at).where("fingerprint = 'v'").collect()
+    assert (v.click_time, v.user_id) == (9000, "u")
+    click_store.put_items(items(spark, ("v", "g", 9000, None)), folder, ids[3])
     (v,) = click_store.read_items(spark, folder, now=at).where("fingerprint = 'v'").collect()
-    assert (v.click_time, v.user_id) == (5000, None)
+    assert (v.click_time, v.user_id) == (9000, None)
     # At 12 s the item of x, alive until 11 s, is gone; compacting purges it.
     at = F.timestamp_seconds(F.lit(12))
     assert [r.fingerprint for r in click_store.read_items(spark, folder, now=at).collect()] == ["v"]

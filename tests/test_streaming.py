@@ -14,7 +14,7 @@ from touchline.operators.decode import decode
 from touchline.sinks import archive, changelog, click_store
 from touchline.sources import topics
 from touchline.streaming import app, jobs, windows
-from touchline.streaming.best_rows import BestRows
+from touchline.streaming.best_rows import BestRows, LostState
 from touchline.streaming.health import ProgressListener, read_progress
 
 NOW = datetime(2024, 1, 1, 17, 30, tzinfo=timezone.utc)
@@ -66,6 +66,17 @@ def test_replayed_batch_repeats_its_output(spark, folder):
     assert step(best, frame(spark, [("a", 60, 0, 3)]), 2, NOW) == []
 
 
+def test_a_lost_or_stale_slot_stops_the_query(spark, folder):
+    best = BestRows(folder, ["event_id"], ORDER)
+    with pytest.raises(LostState):
+        best.winners(frame(spark, [("a", 1, 0, 0)]), 7, NOW)
+    step(best, frame(spark, [("a", 100, 0, 0)]), 0, NOW)
+    step(best, frame(spark, []), 1, NOW)
+    with pytest.raises(LostState):
+        best.winners(frame(spark, [("a", 1, 0, 0)]), 4, NOW)
+    assert step(best, frame(spark, [("a", 200, 0, 1)]), 2, NOW) == []
+
+
 def test_null_key_and_null_order_values(spark, folder):
     best = BestRows(folder, ["event_id"], ORDER)
     out = step(best, frame(spark, [(None, 5, 0, 0), (None, None, 0, 1)]), 0, NOW)
@@ -369,7 +380,7 @@ def test_a_click_store_can_be_added_to_a_running_query(spark, folder):
     run(jobs.EventSinks(archive=out))
     add_file(spark, source, [event("b", 1, anonymous_id="v", clid_params=clid)])
     store = subfolder(folder, "clicks")
-    run(jobs.EventSinks(archive=out, clicks=store))
+    run(jobs.EventSinks(archive=out, clicks=store, clicks_from=1))
     items = click_store.read_items(spark, store, now=F.timestamp_seconds(F.lit(0)))
     assert [r.fingerprint for r in items.collect()] == ["v"]
     assert archive.read_archive(spark, out).count() == 2

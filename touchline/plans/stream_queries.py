@@ -19,6 +19,7 @@ from touchline.plans.catalog import FLAT_SQL, flat_columns, plain_time, query
 from touchline.plans.click_queries import STORE_SQL, flat_items
 from touchline.session import work_dir
 from touchline.sinks import archive, changelog, click_store
+from touchline.sinks.commits import commit_id
 from touchline.sources import topics
 from touchline.streaming import jobs, windows
 
@@ -108,10 +109,10 @@ def event_stream_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(STORE_SQL + "SELECT * EXCLUDE (updated_at) FROM store")
 def click_stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event job with the click store, all clicks in one micro-batch."""
-    path, _ = _export(spark, adapter.as_topic(adapter.raw_events(spark, sf_dir)))
+    """Event job with the click store over several micro-batches."""
+    path, per_batch = _export(spark, adapter.as_topic(adapter.raw_events(spark, sf_dir)))
     sinks = jobs.EventSinks(clicks=work_dir(spark, "clicks"))
-    records = topics.exported_stream(spark, path)
+    records = topics.exported_stream(spark, path, per_batch)
     _drain(jobs.event_job(records, sinks, work_dir(spark, "state"), ttl_seconds=_NO_EXPIRY))
     now = F.lit(_BEFORE_ANY_EXPIRY).cast("timestamp")
     return flat_items(click_store.read_items(spark, sinks.clicks, now=now)).drop("updated_at")
@@ -186,7 +187,7 @@ def _archive_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         now = _START + timedelta(minutes=minutes)
         hours = enrich.with_hour_partition(enrich.with_processed_time(events, F.lit(now)))
         rows = enrich.to_event_archive(archive.last_arrivals(hours))
-        archive.upsert_archive(rows, path, now, batch_id)
+        archive.upsert_archive(rows, path, commit_id(0, batch_id))
     return archive.read_archive(spark, path)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -12,7 +11,6 @@ from touchline import schemas
 from touchline.operators.dedup import RANK, top_rows
 from touchline.sinks.commits import (
     COMMIT,
-    commit_id,
     compact,
     read_commits,
     read_latest,
@@ -40,9 +38,9 @@ def last_arrivals(rows: DataFrame) -> DataFrame:
     return top_rows(rows, schemas.ARCHIVE_KEY, latest).drop(RANK)
 
 
-def upsert_archive(rows: DataFrame, path: str, now: datetime, batch_id: int) -> None:
+def upsert_archive(rows: DataFrame, path: str, commit: str) -> None:
     """Upsert rows that are unique by ``(event_id, dt, hr)``."""
-    write_commit(rows, path, commit_id(now, batch_id), PARTITIONS)
+    write_commit(rows, path, commit, PARTITIONS)
 
 
 def read_archive(

@@ -1,15 +1,19 @@
-"""The stored clicks: one whole item per visitor and click-id name."""
+"""The stored clicks: one whole item per visitor and click-id name.
 
-from __future__ import annotations
+The newest click wins, within a micro-batch and across them, so the result does
+not depend on where batches are cut.  Several writes of one click at one click
+time are improvements of each other, and the last of them counts.
+"""
 
-from datetime import datetime
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline import schemas
 from touchline.operators.clicks import last_written, unexpired
+from touchline.operators.dedup import top_rows
 from touchline.schemas import LONG, TEXT, TEXT_MAP, struct
-from touchline.sinks.commits import commit_id, compact, read_latest, write_commit
+from touchline.sinks.commits import COMMIT, compact, read_commits, write_commit
 
 # Types of the item fields.
 ITEM_SCHEMA = struct(
@@ -25,17 +29,19 @@ ITEM_SCHEMA = struct(
 )
 
 
-def put_items(items: DataFrame, path: str, now: datetime, batch_id: int) -> None:
-    """Write items; a later write replaces the whole item of its key."""
-    write_commit(last_written(items), path, commit_id(now, batch_id))
+def put_items(items: DataFrame, path: str, commit: str) -> None:
+    """Write whole items, one per key."""
+    write_commit(last_written(items), path, commit)
 
 
 def read_items(spark: SparkSession, *paths: str, now: Column | None = None) -> DataFrame:
     """The stored items that have not expired at ``now``."""
-    return unexpired(read_latest(spark, paths, ITEM_SCHEMA, schemas.CLICK_KEY), now)
+    written = read_commits(spark, paths, ITEM_SCHEMA)
+    click = [*schemas.CLICK_KEY, "click_id", "click_time"]
+    return unexpired(last_written(top_rows(written, click, [F.desc(COMMIT)])), now)
 
 
 def compact_items(spark: SparkSession, path: str, target: str, now: Column | None = None) -> None:
     """Fold all commits into one and purge expired items."""
-    keep = lambda items: unexpired(items, now)
-    compact(spark, [path], ITEM_SCHEMA, schemas.CLICK_KEY, target, keep=keep)
+    read = lambda spark, *paths: read_items(spark, *paths, now=now)
+    compact(spark, [path], ITEM_SCHEMA, schemas.CLICK_KEY, target, read=read)

@@ -8,9 +8,10 @@ one when the reader should have less to merge.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from touchline.operators.dedup import RANK, top_rows
@@ -18,9 +19,36 @@ from touchline.operators.dedup import RANK, top_rows
 COMMIT = "commit"
 
 
-def commit_id(now: datetime, batch_id: int) -> str:
-    """Sorts by processing time; a replayed batch gets the same id."""
-    return f"{round(now.timestamp() * 1000):015d}-{batch_id:012d}"
+def commit_id(generation: int, batch_id: int) -> str:
+    """Sorts by generation, then batch; no clock decides which write is newer."""
+    return f"{generation:08d}-{batch_id:012d}"
+
+
+def generation(spark: SparkSession, checkpoint: str, paths: Sequence[str]) -> int:
+    """The number of the query run that ``checkpoint`` belongs to.
+
+    A new checkpoint counts batches from 0 again, so it gets the number after
+    the newest one in the tables it writes to, and keeps it beside its state.
+    """
+    marker = f"{checkpoint}/generation"
+    try:
+        return spark.read.schema("number bigint").parquet(marker).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    number = 1 + max((_newest(spark, path) for path in paths), default=-1)
+    spark.range(1).select(F.lit(number).cast("bigint").alias("number")).write.parquet(marker)
+    return number
+
+
+def _newest(spark: SparkSession, path: str) -> int:
+    try:
+        newest = spark.read.schema(f"{COMMIT} string").parquet(path).agg(F.max(COMMIT)).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    return -1 if newest is None else int(newest.split("-")[0])
 
 
 def write_commit(
@@ -71,16 +99,17 @@ def compact(
     keys: Sequence[str],
     target: str,
     partition_by: Sequence[str] = (),
-    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    read: Callable[..., DataFrame] | None = None,
 ) -> None:
     """Write the newest row per key to the new folder ``target`` as one commit.
 
     The commit carries the newest id it contains, so ``[target, *paths]`` reads
-    the same as ``paths`` and later commits still win.  ``keep`` may filter.
+    the same as ``paths`` and later commits still win.  ``read`` replaces the
+    rule of which rows are kept.
     """
     newest = read_commits(spark, paths, schema).agg(F.max(COMMIT)).first()[0]
     if newest is not None:
-        rows = keep(read_latest(spark, paths, schema, keys))
+        rows = read(spark, *paths) if read else read_latest(spark, paths, schema, keys)
         write_commit(rows, target, newest, partition_by, rebalance=True)
 
 
@@ -89,10 +118,13 @@ def merge_into(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
 
     Needs such a format on the classpath; ``rows`` must be unique by ``keys``.
     """
-    view = "touchline_upsert"
+    view = f"upsert_{uuid.uuid4().hex}"
     rows.createOrReplaceTempView(view)
     match = " AND ".join(f"target.`{k}` <=> source.`{k}`" for k in keys)
-    rows.sparkSession.sql(
-        f"MERGE INTO {table} AS target USING {view} AS source ON {match} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+    try:
+        rows.sparkSession.sql(
+            f"MERGE INTO {table} AS target USING {view} AS source ON {match} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        )
+    finally:
+        rows.sparkSession.catalog.dropTempView(view)

@@ -19,6 +19,7 @@ from touchline.operators import clicks, enrich
 from touchline.operators.decode import decode
 from touchline.session import configure
 from touchline.sinks import archive, changelog, click_store
+from touchline.sinks.commits import commit_id, generation
 from touchline.streaming.best_rows import STATE_TTL_SECONDS, BestRows, batch_clock
 from touchline.streaming.health import observed
 
@@ -32,7 +33,14 @@ EARLIEST = [("event_time", "asc"), *ARRIVAL]
 LATEST = [("event_time", "desc"), *ARRIVAL]
 NEWEST_CLICK = [("click_time", "desc"), ("event_time", "asc"), *ARRIVAL]
 
+# What of an event a stored click needs; nothing else is kept per click.
+CLICK_FIELDS = [
+    "event_id", "user_id", "anonymous_id", "event_time", "utm_params", "clid_params", *schemas.POSITION
+]
+
+# Takes the rows, the processing time, and the id of the batch or of its commit.
 Write = Callable[[DataFrame, datetime, int], None]
+Put = Callable[[DataFrame, datetime, str], None]
 
 
 def stamped(records: DataFrame, schema) -> DataFrame:
@@ -65,9 +73,7 @@ def _start(
         # The session of a batch belongs to its query; others are not affected.
         # Without this, a small batch leaves one tiny file per shuffle partition.
         batch.sparkSession.conf.set(COALESCE_CACHED, "true")
-        # One row is read ahead for the clock; persisting first would make a
-        # whole partition wait for it.
-        now = batch_clock(batch)
+        now = batch_clock(batch.sparkSession, checkpoint, batch_id)
         if reused:
             batch = batch.persist()
         try:
@@ -97,6 +103,19 @@ def best_rows_job(
     return _start(rows, checkpoint, process)
 
 
+def _committed(checkpoint: str, path: str, put: Put) -> Write:
+    """Give ``put`` the commit id of a batch instead of its number."""
+    known: list[int] = []
+
+    def write(rows: DataFrame, now: datetime, batch_id: int) -> None:
+        if not known:
+            name = path.rstrip("/").rsplit("/", 1)[-1]
+            known.append(generation(rows.sparkSession, f"{checkpoint}/sinks/{name}", [path]))
+        put(rows, now, commit_id(known[0], batch_id))
+
+    return write
+
+
 @dataclass(frozen=True)
 class EventSinks:
     """Where the event job writes; a sink left out is not written.
@@ -104,12 +123,15 @@ class EventSinks:
     ``publish`` takes the change-log of a batch, for instance
     :func:`touchline.sinks.changelog.write_kafka`.  ``click_rule`` stores the
     ``"latest"`` sighting of each click id or each click ``"instance"``.
+    ``clicks_from`` names the batch from which on clicks are stored, for a store
+    that is added to a query that already ran.
     """
 
     archive: str | None = None
     publish: Callable[[DataFrame, int], None] | None = None
     clicks: str | None = None
     click_rule: str = "latest"
+    clicks_from: int = 0
 
 
 def event_job(
@@ -132,34 +154,39 @@ def event_job(
     latest = sinks.click_rule == "latest"
     click_keys = clicks.LATEST_KEY if latest else clicks.INSTANCE_KEY
     click_order = NEWEST_CLICK if latest else LATEST
-    best_clicks = BestRows(f"{checkpoint}/best_clicks", click_keys, click_order, ttl_seconds)
+    best_clicks = BestRows(
+        f"{checkpoint}/best_clicks", click_keys, click_order, ttl_seconds, sinks.clicks_from
+    )
 
-    def put_clicks(rows: DataFrame, now: datetime, batch_id: int) -> None:
+    def put_items(rows: DataFrame, now: datetime, commit: str) -> None:
         if latest:
             items = clicks.click_items(rows, F.lit(now))
         else:
             items = clicks.instance_items(clicks.instance_rows(rows))
-        click_store.put_items(items, sinks.clicks, now, batch_id)
+        click_store.put_items(items, sinks.clicks, commit)
+
+    def put_archive(rows: DataFrame, now: datetime, commit: str) -> None:
+        if archive_all:
+            rows = archive.last_arrivals(enrich.with_hour_partition(rows))
+        archive.upsert_archive(enrich.to_event_archive(rows), sinks.archive, commit)
+
+    put_clicks = _committed(checkpoint, sinks.clicks or "", put_items)
+    archived = _committed(checkpoint, sinks.archive or "", put_archive)
 
     def put_events(rows: DataFrame, now: datetime, batch_id: int) -> None:
         if sinks.publish:
             sinks.publish(changelog.to_changelog(enrich.to_processed_events(rows)), batch_id)
         if sinks.archive and not archive_all:
-            archive.upsert_archive(enrich.to_event_archive(rows), sinks.archive, now, batch_id)
-
-    def put_all(rows: DataFrame, now: datetime, batch_id: int) -> None:
-        hours = enrich.with_hour_partition(rows)
-        arrived = enrich.to_event_archive(archive.last_arrivals(hours))
-        archive.upsert_archive(arrived, sinks.archive, now, batch_id)
+            archived(rows, now, batch_id)
 
     def process(batch: DataFrame, now: datetime, batch_id: int) -> None:
-        if sinks.clicks:
-            entries = clicks.explode_clicks(batch)
+        if sinks.clicks and batch_id >= sinks.clicks_from:
+            entries = clicks.explode_clicks(batch.select(*CLICK_FIELDS))
             entries = entries if latest else clicks.with_click_time_text(entries)
             _write_improved(best_clicks, entries, batch_id, now, put_clicks)
         _write_improved(best, batch, batch_id, now, put_events)
         if sinks.archive and archive_all:
-            put_all(batch, now, batch_id)
+            archived(batch, now, batch_id)
 
     reused = bool(sinks.clicks or archive_all)
     return _start(stamped(records, schemas.RAW_EVENTS), checkpoint, process, reused)
@@ -173,10 +200,10 @@ def attributed_job(
 ) -> DataStreamWriter:
     """Attributed events, earliest copy per event, to their archive."""
 
-    def write(rows: DataFrame, now: datetime, batch_id: int) -> None:
-        out = enrich.to_attributed_archive(rows)
-        archive.upsert_archive(out, archive_path, now, batch_id)
+    def put(rows: DataFrame, now: datetime, commit: str) -> None:
+        archive.upsert_archive(enrich.to_attributed_archive(rows), archive_path, commit)
 
+    write = _committed(checkpoint, archive_path, put)
     rows = stamped(records, schemas.ATTRIBUTED_EVENTS)
     return best_rows_job(rows, schemas.EVENT_KEY, EARLIEST, checkpoint, write, ttl_seconds)
 
