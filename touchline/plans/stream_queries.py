@@ -22,6 +22,7 @@ from touchline.sinks import archive, changelog, click_store
 from touchline.sinks.commits import commit_id
 from touchline.sources import topics
 from touchline.streaming import jobs, windows
+from touchline.streaming.best_rows import BestRows
 
 # Long enough that no key expires while a topic is drained.
 _NO_EXPIRY = 7 * 24 * 60 * 60
@@ -215,3 +216,124 @@ WHERE rn = 1
 def archive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies archived in different hours merged into one row per event."""
     return archive.dedup_archive(_archive_three_batches(spark, sf_dir)).select(*flat_columns())
+
+
+@query(STORE_SQL + """
+, firsts AS (
+  SELECT *, ROW_NUMBER() OVER (
+    PARTITION BY raw.event_id ORDER BY event_time ASC NULLS FIRST, part, pos) AS rn FROM raw
+)
+SELECT sink, event_id AS key, event_type AS detail, event_time AS time
+FROM firsts, (SELECT unnest(['archive', 'changelog']) AS sink) WHERE rn = 1
+UNION ALL
+SELECT 'clicks', fingerprint || '/' || click_id_name, click_id, click_time FROM store
+""")
+def event_stream_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event job feeding archive, change-log and click store over several micro-batches."""
+    path, per_batch = _export(spark, adapter.as_topic(adapter.raw_events(spark, sf_dir)))
+    log = work_dir(spark, "changelog")
+    sinks = jobs.EventSinks(
+        archive=work_dir(spark, "archive"),
+        clicks=work_dir(spark, "clicks"),
+        publish=lambda rows, batch_id: rows.write.mode("overwrite").parquet(
+            f"{log}/batch={batch_id}"
+        ),
+    )
+    records = topics.exported_stream(spark, path, per_batch)
+    _drain(jobs.event_job(records, sinks, work_dir(spark, "state"), ttl_seconds=_NO_EXPIRY))
+
+    def rows(table: DataFrame, sink: str, key: str, detail: str, time: str) -> DataFrame:
+        names = F.expr(key).alias("key"), F.expr(detail).alias("detail"), F.expr(time).alias("time")
+        return table.select(F.lit(sink).alias("sink"), *names)
+
+    stored = archive.dedup_archive(archive.read_archive(spark, sinks.archive))
+    latest = dedup.top_rows(spark.read.parquet(log), ["key"], [F.desc("batch")])
+    events = latest.select(F.from_json("value", schemas.RAW_EVENTS).alias("e")).select("e.*")
+    now = F.lit(_BEFORE_ANY_EXPIRY).cast("timestamp")
+    items = click_store.read_items(spark, sinks.clicks, now=now)
+    click = "concat(fingerprint, '/', click_id_name)"
+    return (
+        rows(stored, "archive", "event_id", "event_type", "event_time")
+        .union(rows(events, "changelog", "event_id", "event_type", "event_time"))
+        .union(rows(items, "clicks", click, "click_id", "click_time"))
+    )
+
+
+@query("""
+SELECT event_id, event_time FROM (
+  SELECT *, ROW_NUMBER() OVER (
+    PARTITION BY event_id ORDER BY event_time DESC NULLS LAST, part, pos) AS rn FROM raw)
+WHERE rn = 1
+""")
+def event_stream_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event job that keeps the latest copy, over several micro-batches."""
+    path, per_batch = _export(spark, adapter.as_topic(adapter.raw_events(spark, sf_dir)))
+    sinks = jobs.EventSinks(archive=work_dir(spark, "archive"))
+    records = topics.exported_stream(spark, path, per_batch)
+    state = work_dir(spark, "state")
+    _drain(jobs.event_job(records, sinks, state, keep="last", ttl_seconds=_NO_EXPIRY))
+    rows = archive.read_archive(spark, sinks.archive)
+    return archive.dedup_archive(rows, keep="last").select("event_id", "event_time")
+
+
+@query("""
+SELECT 0 AS batch, event_id, event_time FROM raw WHERE copy = 0
+UNION ALL SELECT 2, event_id, event_time FROM raw WHERE copy = 1
+UNION ALL SELECT 3, event_id, event_time FROM raw WHERE copy = 2
+""")
+def event_stream_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What goes out per batch when keys live for two minutes, on a given clock.
+
+    Later copies are no improvement after a minute, and new keys once the first
+    copy has expired; earlier copies are an improvement in any case.
+    """
+    originals, later, earlier = adapter.raw_events_by_copy(spark, sf_dir)
+    order = [("event_time", "asc"), *jobs.ARRIVAL]
+    best = BestRows(work_dir(spark, "state"), schemas.EVENT_KEY, order)
+    out = work_dir(spark, "sent")
+    for batch_id, (rows, seconds) in enumerate([(originals, 0), (later, 60), (later, 130), (earlier, 180)]):
+        winners = best.winners(rows, batch_id, _START + timedelta(seconds=seconds)).persist()
+        sent = best.improved(winners).select("event_id", "event_time")
+        sent.write.parquet(f"{out}/batch={batch_id}")
+        best.save(winners, batch_id)
+        winners.unpersist()
+    return spark.read.parquet(out).select("batch", "event_id", "event_time")
+
+
+_LATE_SQL = """
+, timed AS (
+  SELECT *, event_time < (SELECT min(event_time) FROM raw) + 8 * 86400
+           AND CAST(event_id AS BIGINT) % 7 = 0 AS delayed
+  FROM raw
+), on_time AS (SELECT * FROM timed WHERE NOT delayed)
+SELECT make_timestamp((event_time // 60 - back) * 60000000) AS window_start,
+       make_timestamp((event_time // 60 - back + 5) * 60000000) AS window_end,
+       event_type, count(*) AS event_count, count(DISTINCT user_id) AS user_count
+FROM on_time, (SELECT unnest([0, 1, 2, 3, 4]) AS back)
+WHERE (event_time // 60 - back + 5) * 60 <= (SELECT max(event_time) - 5 FROM raw)
+GROUP BY ALL
+"""
+
+
+@query(_LATE_SQL)
+def hop_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows of a stream in time order, whose delayed rows come too late to count.
+
+    The topic comes in thirds of the time; some rows of the first days come with the last.
+    """
+    raw = adapter.raw_events(spark, sf_dir)
+    start = raw.agg(F.min("event_time")).first()[0]
+    delayed = (F.col("event_time") < start + 8 * 86400) & (F.col("event_id").cast("bigint") % 7 == 0)
+    third = F.least(F.floor((F.col("event_time") - start) / 864000), F.lit(2))
+    parted = raw.withColumn("third", F.when(delayed, 2).otherwise(third))
+    path = work_dir(spark, "topic")
+    for k in range(3):
+        part = adapter.as_topic(parted.where(F.col("third") == k).drop("third")).coalesce(1)
+        part.write.mode("append").parquet(path)
+    events = decode(topics.exported_stream(spark, path, 1), schemas.RAW_EVENTS)
+    out = work_dir(spark, "stats")
+    stats = windows.stream_stats(events, ["event_type"], "5 minutes", "1 minute")
+    writer = stats.writeStream.format("parquet").option("path", out)
+    _drain(writer.option("checkpointLocation", work_dir(spark, "state")))
+    names = ("window_start", "window_end")
+    return spark.read.parquet(out).withColumns({name: plain_time(name) for name in names})

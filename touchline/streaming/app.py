@@ -12,6 +12,7 @@ from touchline.session import build_session
 from touchline.sinks.changelog import write_kafka
 from touchline.sources.topics import kafka_stream
 from touchline.streaming import jobs
+from touchline.streaming.health import ProgressListener
 
 # Default topic names.
 INPUT_TOPIC = "raw-events"
@@ -27,9 +28,11 @@ def topic_jobs(
     input_topic: str = INPUT_TOPIC,
     attributed_topic: str = ATTRIBUTED_TOPIC,
     exposure_topic: str = EXPOSURE_TOPIC,
+    store_clicks: bool = False,
 ) -> dict[str, DataStreamWriter]:
     """The jobs by name, ready to start; tables and checkpoints go below ``root``."""
-    sinks = jobs.EventSinks(archive=f"{root}/events", publish=publish)
+    clicks = f"{root}/click_events" if store_clicks else None
+    sinks = jobs.EventSinks(archive=f"{root}/events", publish=publish, clicks=clicks)
     checkpoint = f"{root}/checkpoints"
     return {
         "events": jobs.event_job(read(input_topic), sinks, f"{checkpoint}/events"),
@@ -50,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output-topic", default=OUTPUT_TOPIC)
     parser.add_argument("--attributed-topic", default=ATTRIBUTED_TOPIC)
     parser.add_argument("--exposure-topic", default=EXPOSURE_TOPIC)
+    parser.add_argument("--store-clicks", action="store_true", help="keep the click store")
     parser.add_argument("--max-records", type=int, help="records per micro-batch and topic")
     parser.add_argument(
         "--kafka-option", action="append", default=[], metavar="NAME=VALUE",
@@ -66,8 +70,15 @@ def main(argv: list[str] | None = None) -> None:
         write_kafka(log, args.servers, args.output_topic, **options)
 
     started = topic_jobs(
-        read, publish, args.root, args.input_topic, args.attributed_topic, args.exposure_topic
+        read,
+        publish,
+        args.root,
+        args.input_topic,
+        args.attributed_topic,
+        args.exposure_topic,
+        args.store_clicks,
     )
+    spark.streams.addListener(ProgressListener(spark, f"{args.root}/progress"))
     for name, job in started.items():
         job.queryName(name).start()
     spark.streams.awaitAnyTermination()

@@ -43,24 +43,36 @@ def progress_row(progress) -> tuple:
 
 
 class ProgressListener(StreamingQueryListener):
-    """Appends one row per micro-batch to a Parquet folder."""
+    """Appends progress to a Parquet folder, ``rows_per_file`` micro-batches at a time.
 
-    def __init__(self, spark: SparkSession, path: str):
+    What is left is written when a query ends, or by :meth:`flush`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, rows_per_file: int = 60):
         self._spark = spark
         self._path = path
+        self._limit = rows_per_file
+        self._rows: list[tuple] = []
+
+    def flush(self) -> None:
+        if self._rows:
+            rows, self._rows = self._rows, []
+            table = self._spark.createDataFrame(rows, PROGRESS).coalesce(1)
+            table.write.mode("append").parquet(self._path)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        rows = self._spark.createDataFrame([progress_row(event.progress)], PROGRESS)
-        rows.write.mode("append").parquet(self._path)
+        self._rows.append(progress_row(event.progress))
+        if len(self._rows) >= self._limit:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
