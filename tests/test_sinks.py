@@ -5,9 +5,12 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from streams import add_file, drain, event
 from touchline import schemas
 from touchline.operators import enrich
 from touchline.sinks import archive, changelog, click_store, commits
+from touchline.sources import topics
+from touchline.streaming import jobs
 
 NOW = datetime(2024, 1, 1, 15, 59, 30, 120000, tzinfo=timezone.utc)
 
@@ -137,6 +140,21 @@ def test_click_store_replaces_whole_items(spark, folder):
     assert [r.fingerprint for r in rows] == ["v"]
 
 
+def test_jobs_merge_into_a_catalog_table(spark, folder):
+    """No format with MERGE is installed, so the statement must reach Spark and be refused."""
+    spark.sql(f"CREATE TABLE merged_events (event_id STRING) USING parquet LOCATION '{folder}/t'")
+    try:
+        for kind, job in (
+            ("raw", lambda r: jobs.event_job(r, jobs.EventSinks(archive_table="merged_events"), f"{folder}/a")),
+            ("attributed", lambda r: jobs.attributed_job(r, "", f"{folder}/b", archive_table="merged_events")),
+        ):
+            add_file(spark, f"{folder}/{kind}", [event("a", 1)])
+            with pytest.raises(Exception, match="MERGE"):
+                drain(job(topics.exported_stream(spark, f"{folder}/{kind}")))
+    finally:
+        spark.sql("DROP TABLE merged_events")
+
+
 def test_merge_into_a_catalog_table_needs_a_format_with_merge(spark, folder):
     spark.sql(f"CREATE TABLE plain_events (event_id STRING) USING parquet LOCATION '{folder}/t'")
     try:

@@ -32,12 +32,14 @@ def latest_clicks(events: DataFrame, max_rank: int = 1) -> DataFrame:
     """The newest sighting of each click id of each visitor.
 
     With ``max_rank=2`` the runner-up is kept as well, and ``is_new_click``
-    tells it from the winner.
+    tells it from the winner.  ``stored_for`` names the visitor whose stored
+    click a row replaces; a runner-up replaces none.
     """
     clicks = explode_clicks(events)
     order = [F.desc("click_time"), F.asc("event_time"), *arrival_order(events)]
     ranked = top_rows(clicks, LATEST_KEY, order, max_rank)
-    return ranked.withColumn("is_new_click", F.col(RANK) == 1)
+    new = F.col(RANK) == 1
+    return ranked.withColumns({"is_new_click": new, "stored_for": F.when(new, F.col("anonymous_id"))})
 
 
 def with_click_time_text(clicks: DataFrame) -> DataFrame:

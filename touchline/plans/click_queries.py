@@ -69,13 +69,14 @@ def click_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _LATEST_SQL
     + """SELECT event_id, anonymous_id, k, v, click_time, CAST(row_num AS INTEGER) AS row_num,
-       row_num = 1 AS is_new_click FROM latest"""
+       row_num = 1 AS is_new_click, CASE WHEN row_num = 1 THEN anonymous_id END AS stored_for
+FROM latest"""
 )
 def click_rank_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winner and runner-up per click id, told apart."""
     rows = clicks.latest_clicks(adapter.raw_events(spark, sf_dir), max_rank=2)
     return rows.select(
-        "event_id", "anonymous_id", "k", "v", "click_time", "row_num", "is_new_click"
+        "event_id", "anonymous_id", "k", "v", "click_time", "row_num", "is_new_click", "stored_for"
     )
 
 

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from touchline import schemas
-from touchline.operators import dedup, enrich
+from touchline.operators import attribution, dedup, enrich, stats
 from touchline.operators.decode import decode
 from touchline.plans import adapter
 from touchline.plans.catalog import FLAT_SQL, flat_columns, plain_time, query
 from touchline.plans.click_queries import STORE_SQL, flat_items
 from touchline.session import work_dir
-from touchline.sinks import archive, changelog, click_store
+from touchline.sinks import archive, changelog, click_store, reports
 from touchline.sinks.commits import commit_id
 from touchline.sources import topics
 from touchline.streaming import jobs, windows
@@ -332,8 +332,55 @@ def hop_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.write.mode("append").parquet(path)
     events = decode(topics.exported_stream(spark, path, 1), schemas.RAW_EVENTS)
     out = work_dir(spark, "stats")
-    stats = windows.stream_stats(events, ["event_type"], "5 minutes", "1 minute")
-    writer = stats.writeStream.format("parquet").option("path", out)
+    counts = windows.stream_stats(events, ["event_type"], "5 minutes", "1 minute")
+    writer = counts.writeStream.format("parquet").option("path", out)
     _drain(writer.option("checkpointLocation", work_dir(spark, "state")))
     names = ("window_start", "window_end")
     return spark.read.parquet(out).withColumns({name: plain_time(name) for name in names})
+
+
+def _in_two_commits(spark: SparkSession, sf_dir: str, report, put, label: str) -> str:
+    """A report over the originals, then over all events, the second written over the first."""
+    path = work_dir(spark, label)
+    for batch_id, events in enumerate(
+        [adapter.raw_events_by_copy(spark, sf_dir)[0], adapter.raw_events(spark, sf_dir)]
+    ):
+        put(report(events), path, commit_id(0, batch_id))
+    return path
+
+
+@query("""
+SELECT make_timestamp(event_time // 60 * 60000000) AS window_start,
+       make_timestamp((event_time // 60 + 1) * 60000000) AS window_end,
+       event_type, platform, count(*) AS event_count, count(DISTINCT user_id) AS user_count
+FROM raw GROUP BY ALL
+""")
+def stats_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute statistics in a table that overwrites by window, type and platform."""
+
+    def report(events: DataFrame) -> DataFrame:
+        platform = F.col("event_properties")["platform"]
+        return stats.tumbling_stats(events.withColumn("platform", platform))
+
+    path = _in_two_commits(spark, sf_dir, report, reports.put_stats, "stats")
+    names = ("window_start", "window_end")
+    return reports.read_stats(spark, path).withColumns({name: plain_time(name) for name in names})
+
+
+@query("""
+SELECT event_id AS conversion_id, user_id, event_type AS conversion_type,
+       event_time AS conversion_time, utm_source AS attributed_channel,
+       utm_campaign AS attributed_campaign, 'last_touch' AS attribution_model
+FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY event_id ORDER BY event_time ASC NULLS FIRST, part, pos) AS rn
+      FROM raw WHERE event_type = 'purchase') WHERE rn = 1
+""")
+def conversions_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last-touch conversions in a table that overwrites by conversion id."""
+
+    def report(events: DataFrame) -> DataFrame:
+        firsts = attribution.unique_conversions(events, "purchase")
+        return attribution.last_touch(firsts, "purchase")
+
+    path = _in_two_commits(spark, sf_dir, report, reports.put_conversions, "conversions")
+    return reports.read_conversions(spark, path)

@@ -114,3 +114,4 @@ EVENT_KEY = ["event_id"]
 ARCHIVE_KEY = ["event_id", "dt", "hr"]
 CLICK_KEY = ["fingerprint", "click_id_name"]
 CONVERSION_KEY = ["conversion_id"]
+STATS_KEY = ["window_start", "event_type", "platform"]

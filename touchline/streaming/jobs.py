@@ -19,7 +19,7 @@ from touchline.operators import clicks, enrich
 from touchline.operators.decode import decode
 from touchline.session import configure
 from touchline.sinks import archive, changelog, click_store
-from touchline.sinks.commits import commit_id, generation
+from touchline.sinks.commits import commit_id, generation, merge_into
 from touchline.streaming.best_rows import STATE_TTL_SECONDS, BestRows, batch_clock
 from touchline.streaming.health import observed
 
@@ -124,7 +124,8 @@ class EventSinks:
     :func:`touchline.sinks.changelog.write_kafka`.  ``click_rule`` stores the
     ``"latest"`` sighting of each click id or each click ``"instance"``.
     ``clicks_from`` names the batch from which on clicks are stored, for a store
-    that is added to a query that already ran.
+    that is added to a query that already ran.  ``archive_table`` names a catalog
+    table whose format has MERGE; it is upserted in place of commits in ``archive``.
     """
 
     archive: str | None = None
@@ -132,6 +133,7 @@ class EventSinks:
     clicks: str | None = None
     click_rule: str = "latest"
     clicks_from: int = 0
+    archive_table: str | None = None
 
 
 def event_job(
@@ -173,10 +175,18 @@ def event_job(
     put_clicks = _committed(checkpoint, sinks.clicks or "", put_items)
     archived = _committed(checkpoint, sinks.archive or "", put_archive)
 
+    def merge_archive(rows: DataFrame, now: datetime, batch_id: int) -> None:
+        if archive_all:
+            rows = archive.last_arrivals(enrich.with_hour_partition(rows))
+        merge_into(enrich.to_event_archive(rows), sinks.archive_table, schemas.ARCHIVE_KEY)
+
+    archived = merge_archive if sinks.archive_table else archived
+    has_archive = bool(sinks.archive or sinks.archive_table)
+
     def put_events(rows: DataFrame, now: datetime, batch_id: int) -> None:
         if sinks.publish:
             sinks.publish(changelog.to_changelog(enrich.to_processed_events(rows)), batch_id)
-        if sinks.archive and not archive_all:
+        if has_archive and not archive_all:
             archived(rows, now, batch_id)
 
     def process(batch: DataFrame, now: datetime, batch_id: int) -> None:
@@ -185,7 +195,7 @@ def event_job(
             entries = entries if latest else clicks.with_click_time_text(entries)
             _write_improved(best_clicks, entries, batch_id, now, put_clicks)
         _write_improved(best, batch, batch_id, now, put_events)
-        if sinks.archive and archive_all:
+        if has_archive and archive_all:
             archived(batch, now, batch_id)
 
     reused = bool(sinks.clicks or archive_all)
@@ -197,13 +207,20 @@ def attributed_job(
     archive_path: str,
     checkpoint: str,
     ttl_seconds: int = STATE_TTL_SECONDS,
+    archive_table: str | None = None,
 ) -> DataStreamWriter:
-    """Attributed events, earliest copy per event, to their archive."""
+    """Attributed events, earliest copy per event, to their archive.
+
+    With ``archive_table`` a catalog table whose format has MERGE is upserted.
+    """
 
     def put(rows: DataFrame, now: datetime, commit: str) -> None:
         archive.upsert_archive(enrich.to_attributed_archive(rows), archive_path, commit)
 
-    write = _committed(checkpoint, archive_path, put)
+    def merge(rows: DataFrame, now: datetime, batch_id: int) -> None:
+        merge_into(enrich.to_attributed_archive(rows), archive_table, schemas.ARCHIVE_KEY)
+
+    write = merge if archive_table else _committed(checkpoint, archive_path, put)
     rows = stamped(records, schemas.ATTRIBUTED_EVENTS)
     return best_rows_job(rows, schemas.EVENT_KEY, EARLIEST, checkpoint, write, ttl_seconds)
 
