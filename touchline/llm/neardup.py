@@ -165,7 +165,7 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with their label, of buckets that hold more than one component."""
     labelled = members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    return labelled.join(mixed.select("bucket"), "bucket")
+    return labelled.join(as_table(mixed.select("bucket"), "neardup-mixed"), "bucket")
 
 
 def _bounded(common, n, other):
@@ -234,7 +234,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = classes.select("cid", "n", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
     bucket = F.xxhash64("band", F.expr(f"substring(registers, band * {ROWS} + 1, {ROWS})"))
     banded = banded.select(bucket.alias("bucket"), "band", "cid", "n")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # One row per bucket, written, so that a join may split the rows of a hot bucket.
+    shared = as_table(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "neardup-buckets")
     members = as_table(banded.join(shared, "bucket"), "neardup-members")
 
     texts = source.select("text_hash", "text").dropDuplicates(["text_hash"])
@@ -243,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     central = members.groupBy("cid").agg(F.sum("size").alias("central"))
     ranked = members.join(central, "cid")
-    pivots = ranked.groupBy("bucket").agg(F.max_by("cid", "central").alias("pivot"))
+    pivots = as_table(ranked.groupBy("bucket").agg(F.max_by("cid", "central").alias("pivot")), "neardup-pivots")
     met = members.join(pivots, "bucket").where("cid <> pivot").groupBy("cid", "pivot").agg(F.count(F.lit(1)).alias("bands"))
     first = met.groupBy(F.col("cid").alias("a")).agg(F.max_by("pivot", "bands").alias("b"))
     links = as_table(check_pairs(first, classes, sets), "neardup-links")
