@@ -14,6 +14,8 @@ from touchline.session import work_dir
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
+SMALL_ROWS = 1_000_000  # rows of ids and labels that may be broadcast
+
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
@@ -133,6 +135,10 @@ def sampled(key: Column, share: float) -> Column:
 def labelled(docs: DataFrame, marks: DataFrame, column: str, use: Column) -> DataFrame:
     """``text, label`` of the rows of ``docs`` that ``use`` allows and that have a label."""
     known = marks.select(F.col("doc_id").alias("marked"), F.col(column).cast("int").alias("label")).where("label in (0, 1)")
+    # Ids and labels are 12 bytes a row: counted, so that only a small table is sent to all
+    # tasks and the texts stay where they are; a larger one is joined by a shuffle.
+    if known.count() <= SMALL_ROWS:
+        known = F.broadcast(known)
     rows = docs.where(use).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.join(known, F.col("doc_id") == F.col("marked")).select("text", "label")
 
