@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.llm import language, quality_model, toxicity
 from touchline.llm.common import documents, fit_logistic
@@ -110,3 +111,25 @@ def test_temperature_and_weights_fit():
     assert weights[1] > 2 * abs(weights[2])
     net = quality_model.train(np.zeros((1, 1)), x, y)
     assert np.mean((net.probabilities(x) > 0.5) == y) > 0.85 and 0.25 <= net.temperature <= 8
+
+
+def test_toxicity_keeps_every_ngram_and_context(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1500)), int(i % 4 == 0)) for i in range(250)]
+    model = toxicity.learn(spark.createDataFrame(rows, "text string, label int"))
+    hashes = spark.createDataFrame(rows, "text string, label int").selectExpr("text", f"pmod(xxhash64(text), {toxicity.TUNING_FOLD}) AS fold")
+    counted = [toxicity.codes(toxicity.symbols(r["text"])) for r in hashes.collect() if r["fold"]]
+    grams = np.unique(np.concatenate(counted))
+    table = {r["key"]: r["ratio"] for r in model.ratios.collect()}
+    contexts = {int(c) | toxicity.CONTEXT for c in grams >> np.uint64(toxicity.BITS)}
+    assert set(table) == set(grams.tolist()) | contexts
+    # Scores by chunks of few texts are those by one look-up in the whole table.
+    monkeypatch.setattr(toxicity, "CHUNK", 4000)
+    texts = [(i if i else None, t) for i, (t, _) in enumerate(rows[:12])] + [(2**60 + 1, "ab zzz unseen 漢字"), (2**60 + 2, None)]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    found = {r["id"]: tuple(r)[1:] for r in toxicity.measure(docs, model.ratios, F.coalesce("id", F.xxhash64("text"))).collect()}
+    keys = np.array(sorted(table))
+    ratios = np.array([table[k] for k in keys.tolist()])
+    assert found.keys() == {i for i, _ in texts}
+    for i, text in texts:
+        assert found[i] == pytest.approx(toxicity.features(text, keys, ratios))

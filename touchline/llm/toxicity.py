@@ -9,8 +9,10 @@ and word by word: insults are few among many ordinary words, so the words with t
 highest ratios count on their own.  A small logistic fit on a bounded sample of labelled
 documents outside the counts turns these ratios into a score.
 
-Counts cover every labelled row given; Spark reduces them by n-gram, and then to tables
-of a fixed number of slots, so the model has the same size however large the corpus is.
+Counts cover every labelled row given, and the model keeps the ratio of every n-gram and
+context as a table, which grows with the corpus.  To be scored, documents are dealt to
+chunks of neighbouring ids of about ``CHUNK`` code points; the distinct n-grams of a chunk
+are joined to their ratios once, and each chunk's ratios meet its texts.
 
 Defined results: null or empty text has ratios of 0 and scores as such; without tuning
 labels of both classes every score is about 0; label rows of unknown documents and null labels are ignored;
@@ -24,14 +26,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm.common import as_table, code_points, fit_logistic
 
 ORDER = 5
 BITS = 12  # bits of a symbol within an n-gram's code
-SLOTS = 2_097_143  # slots (a prime) for n-grams; of those that meet in one, the weightiest stays
-CONTEXT_SLOTS = 262_139  # the same for contexts
+CONTEXT = 1 << 61  # added to the code of a context, to tell it from n-grams
+CHUNK = 16_000_000  # code points of the texts that are scored together, about
+HELD = 4_000_000  # distinct n-grams that a task holds before it hands them on
 DISCOUNT = 0.75
 WORST = 3  # words with the highest ratios that are averaged
 SAMPLE = 4000  # labelled documents per class, about, for the final fit
@@ -72,43 +75,120 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     held, size = [], 0
 
 
-def _slots(key: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot of a key, and the tag that tells keys of one slot apart."""
-    slot = key % np.uint64(slots)
-    return slot.astype(np.int64), (key // np.uint64(slots)).astype(np.uint32)
-
-
 @dataclass
 class Model:
-    tags: np.ndarray  # which n-gram a slot holds
-    ratios: np.ndarray  # its log-likelihood ratio
-    context_tags: np.ndarray  # the same for contexts, for n-grams that no class has seen
-    context_ratios: np.ndarray
+    ratios: DataFrame  # ``key, ratio``: log-likelihood ratio of every n-gram, and of every context for unseen n-grams
     weights: np.ndarray  # of the logistic fit: bias, then the features
 
-    def ratios_of(self, code: np.ndarray) -> np.ndarray:
-        """Log-likelihood ratio of every n-gram."""
-        slot, tag = _slots(code, SLOTS)
-        seen = self.tags[slot] == tag
-        value = np.where(seen, self.ratios[slot], np.float32(0))
-        rest = np.flatnonzero(~seen)
-        slot, tag = _slots(code[rest] >> np.uint64(BITS), CONTEXT_SLOTS)
-        value[rest] = np.where(self.context_tags[slot] == tag, self.context_ratios[slot], np.float32(0))
-        return value
-
-    def features(self, text: str | None) -> tuple[float, ...]:
-        """Ratio per symbol of the whole text, of its worst word, of its worst words, and log length."""
-        s = symbols(text)
-        if len(s) <= ORDER:
-            return (0.0,) * FEATURES
-        value = self.ratios_of(codes(s)).astype(np.float64)
-        words = np.add.reduceat(value, np.flatnonzero(s[ORDER - 2 : -1] == 32))
-        worst = np.sort(words)[-WORST:]
-        return float(value.mean()), float(worst[-1]), float(worst.sum() / WORST), float(np.log(len(words)))
-
-    def score(self, text: str | None) -> float:
-        z = float(self.weights @ np.array([1.0, *self.features(text)]))
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+
+def ratios_of(code: np.ndarray, keys: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of every n-gram, from a table sorted by key."""
+
+    def look(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return keys[at] == wanted, ratios[at]
+
+    if not len(keys):
+        return np.zeros(len(code))
+    seen, value = look(code.view(np.int64))
+    rest = np.flatnonzero(~seen)
+    known, other = look((code[rest] >> np.uint64(BITS)).view(np.int64) | CONTEXT)
+    value[rest] = np.where(known, other, 0.0)
+    return value
+
+
+def features(text: str | None, keys: np.ndarray, ratios: np.ndarray) -> tuple[float, ...]:
+    """Ratio per symbol of the whole text, of its worst word, of its worst words, and log length."""
+    s = symbols(text)
+    if len(s) <= ORDER:
+        return (0.0,) * FEATURES
+    value = ratios_of(codes(s), keys, ratios)
+    words = np.add.reduceat(value, np.flatnonzero(s[ORDER - 2 : -1] == 32))
+    worst = np.sort(words)[-WORST:]
+    return float(value.mean()), float(worst[-1]), float(worst.sum() / WORST), float(np.log(len(words)))
+
+
+def _chunk_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Distinct n-grams and contexts of a task's texts, by chunk."""
+    held: dict[int, np.ndarray] = {}
+
+    def emptied() -> Iterator[pd.DataFrame]:
+        for chunk, found in held.items():
+            contexts = np.unique(found >> np.uint64(BITS)) | np.uint64(CONTEXT)
+            for key in (found, contexts):
+                yield pd.DataFrame({"chunk": np.int32(chunk), "key": key.view(np.int64)})
+        held.clear()
+
+    for batch in batches:
+        for chunk, texts in batch.groupby("chunk")["text"]:
+            parts, size = [held.pop(chunk, np.empty(0, dtype=np.uint64))], 0
+            for text in texts:
+                parts.append(codes(symbols(text)))
+                size += len(parts[-1])
+                if size > HELD:
+                    parts, size = [np.unique(np.concatenate(parts))], 0
+            held[chunk] = np.unique(np.concatenate(parts))
+        if sum(map(len, held.values())) > HELD:
+            yield from emptied()
+    yield from emptied()
+
+
+def _chunked(docs: DataFrame, place: Column) -> DataFrame:
+    """``docs`` with ``chunk``, a range of ``place`` with about ``CHUNK`` code points."""
+    docs = docs.withColumn("place", place)
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    many = chars // CHUNK + 1
+    shares = [i / many for i in range(1, many)]
+    found = docs.agg(F.percentile_approx("place", shares, 100 * many).alias("b")).first()["b"] if shares else []
+    bounds = np.array(sorted(set(found or [])), dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def chunk_of(places: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, places.to_numpy(np.int64)).astype(np.int32))
+
+    return docs.withColumn("chunk", chunk_of("place")).drop("place")
+
+
+def measure(docs: DataFrame, ratios: DataFrame, place: Column) -> DataFrame:
+    """``id`` and features ``f0`` and on of every row (``id, text``); rows near in ``place`` share their look-ups."""
+    chunked = _chunked(docs.select("id", F.coalesce("text", F.lit("")).alias("text")), place)
+    keys = chunked.select("chunk", "text").mapInPandas(_chunk_keys, "chunk int, key bigint")
+    empty = [F.lit(0).cast("bigint").alias("id"), F.lit(False).alias("named"), F.lit("").alias("text")]
+    looked = keys.join(ratios, "key").select("chunk", F.lit(0).alias("part"), "key", "ratio", *empty)
+    texts = chunked.select(
+        "chunk",
+        F.lit(1).alias("part"),
+        F.lit(0).cast("bigint").alias("key"),
+        F.lit(0.0).alias("ratio"),
+        F.coalesce("id", F.lit(0)).cast("bigint").alias("id"),
+        F.col("id").isNotNull().alias("named"),
+        "text",
+    )
+    names = [f"f{i}" for i in range(FEATURES)]
+
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, parts, table = None, [], None
+        for batch in batches:
+            for chunk, rows in batch.groupby("chunk", sort=False):
+                if chunk != current:
+                    current, parts, table = chunk, [], None
+                looked = rows[rows["part"] == 0]
+                if len(looked):
+                    parts.append((looked["key"].to_numpy(np.int64), looked["ratio"].to_numpy(np.float64)))
+                own = rows[rows["part"] == 1]
+                if not len(own):
+                    continue
+                if table is None:  # all ratios of a chunk come before its texts
+                    key = np.concatenate([np.empty(0, dtype=np.int64), *(k for k, _ in parts)])
+                    ratio = np.concatenate([np.empty(0), *(r for _, r in parts)])
+                    key, first = np.unique(key, return_index=True)
+                    table, parts = (key, ratio[first]), []
+                found = pd.DataFrame([features(t, *table) for t in own["text"]], columns=names)
+                yield found.assign(id=own["id"].to_numpy(), named=own["named"].to_numpy())
+
+    dealt = looked.unionAll(texts).repartition("chunk").sortWithinPartitions("chunk", "part")
+    schema = ", ".join(f"{n} double" for n in names) + ", id bigint, named boolean"
+    return dealt.mapInPandas(measured, schema).select(F.when(F.col("named"), F.col("id")).alias("id"), *names)
 
 
 def shared_probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
@@ -135,25 +215,9 @@ def shared_probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
     return shared
 
 
-def _table(rows: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tags and ratios by slot, of rows (code, ratio, n); at most ``slots`` rows reach the driver."""
-    weight = F.abs("ratio") * F.col("n") * (1 + F.col("code") / F.lit(float(1 << 62)))  # no ties
-    kept = (
-        rows.withColumns({"slot": F.col("code") % slots, "weight": weight})
-        .groupBy("slot")
-        .agg(F.max_by("code", "weight").alias("code"), F.max_by("ratio", "weight").alias("ratio"))
-        .toPandas()
-    )
-    tags = np.full(slots, np.uint32(0xFFFFFFFF), dtype=np.uint32)
-    ratios = np.zeros(slots, dtype=np.float32)
-    slot, tag = _slots(kept["code"].to_numpy(np.int64).astype(np.uint64), slots)
-    tags[slot], ratios[slot] = tag, kept["ratio"].to_numpy(np.float32)
-    return tags, ratios
-
-
 def learn(train: DataFrame) -> Model:
     """A model from ``text, label`` rows; both classes must have rows."""
-    rows = as_table(train.withColumn("tuning", F.pmod(F.xxhash64("text"), F.lit(TUNING_FOLD)) == 0), "toxicity-train")
+    rows = train.withColumn("tuning", F.pmod(F.xxhash64("text"), F.lit(TUNING_FOLD)) == 0)
     counts = rows.where("not tuning").select("text", "label").mapInPandas(_count, "code bigint, label int, n bigint")
     one = lambda c: F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}")
     grams = as_table(counts.groupBy("code").agg(one(0), one(1)), "toxicity-grams")
@@ -174,26 +238,18 @@ def learn(train: DataFrame) -> Model:
 
     joined = grams.join(contexts, "context").join(shared_probabilities(grams), "suffix")
     ratio = F.log(probability(1)) - F.log(probability(0))
-    tables = _table(joined.select("code", ratio.alias("ratio"), (F.col("n0") + F.col("n1")).alias("n")), SLOTS)
     unseen = contexts.select(
-        F.col("context").alias("code"),
-        (F.log(backoff(1)) - F.log(backoff(0))).alias("ratio"),
-        (F.col("total0") + F.col("total1")).alias("n"),
+        F.col("context").bitwiseOR(F.lit(CONTEXT)).alias("key"), (F.log(backoff(1)) - F.log(backoff(0))).alias("ratio")
     )
-    model = Model(*tables, *_table(unseen, CONTEXT_SLOTS), np.zeros(1 + FEATURES))
+    ratios = as_table(joined.select(F.col("code").alias("key"), ratio.alias("ratio")).unionAll(unseen), "toxicity-ratios")
+    model = Model(ratios, np.zeros(1 + FEATURES))
     many = {r["label"]: r["n"] for r in rows.where("tuning").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(many) == 2:
         share = F.when(F.col("label") == 1, F.lit(SAMPLE / many[1])).otherwise(F.lit(SAMPLE / many[0]))
         drawn = rows.where("tuning").where(F.pmod(F.xxhash64(F.lit(2), "text"), F.lit(1 << 30)) < share * (1 << 30))
         names = [f"f{i}" for i in range(FEATURES)]
-        held = drawn.sparkSession.sparkContext.broadcast(model)
-
-        def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                both = [held.value.features(t) for t in batch["text"]]
-                yield pd.DataFrame(both, columns=names).assign(label=batch["label"].to_numpy())
-
-        tuned = drawn.select("text", "label").mapInPandas(measured, ", ".join(f"{n} double" for n in names) + ", label int").toPandas()
+        drawn = as_table(drawn.select(F.col("label").cast("bigint").alias("id"), "text"), "toxicity-drawn")
+        tuned = measure(drawn, ratios, F.xxhash64("text")).withColumnRenamed("id", "label").toPandas()
         tuned = tuned.sort_values([*names, "label"])
         model.weights = fit_logistic(tuned[names].to_numpy(), tuned["label"].to_numpy())
     else:
@@ -203,10 +259,8 @@ def learn(train: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and ``score``, the probability of being toxic, of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[["doc_id"]].assign(score=[held.value.score(t) for t in batch["text"]])
-
-    return docs.select("doc_id", "text").mapInPandas(scored, "doc_id bigint, score double")
+    rows = docs.select(F.col("doc_id").alias("id"), "text")
+    bias, *weights = map(float, model.weights)
+    found = measure(rows, model.ratios, F.coalesce("id", F.xxhash64("text")))
+    z = sum((F.lit(w) * F.col(f"f{i}") for i, w in enumerate(weights)), F.lit(bias))
+    return found.select(F.col("id").alias("doc_id"), (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))).alias("score"))
