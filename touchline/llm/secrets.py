@@ -2,7 +2,8 @@
 
 Strong patterns are reported wherever they stand.  Weak candidates - a bare secret-like
 string, an account name, an endpoint - are harmless alone, so each is reported only if
-the parts that complete it to a credential stand within ``SCOPE`` code points.  That is
+the parts that complete it to a credential stand within ``SCOPE`` code points.  A URL with
+user and password is complete by itself and reported wherever it stands.  Linking is
 an interval join on places: per document and stretch of ``SCOPE``, the first and the last
 part of each role are all that can be nearest, so parts are reduced to those before the
 join, and no pair of parts is ever built.
@@ -33,13 +34,16 @@ MIN_VALUE, MIN_ACCESS = 8, 16
 
 # Weak candidates: account names, long mixed strings, and places to connect to.
 ACCOUNT = r"(?:[uU][sS][eE][rR](?:[nN][aA][mM][eE])?|[lL][oO][gG][iI][nN]|[cC][lL][iI][eE][nN][tT]_?[iI][dD])[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
-OPAQUE = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])[A-Za-z0-9+/]{24,}={0,2}(?![A-Za-z0-9+/=_-])"
-ENDPOINT = r"[a-z][a-z0-9+]{1,12}://[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"
+OPAQUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])[A-Za-z0-9+/]{24,}={0,2}(?![A-Za-z0-9+/=_-])"
+_HOST = r"[A-Za-z0-9.-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~/-]*)?"
+ENDPOINT = r"[a-z][a-z0-9+]{1,12}://(?:[^\x00-\x20/@\"'<>]+@)?" + _HOST
+# A URL with a password, which is strong but no base pattern.
+LOGIN = r"[a-z][a-z0-9+]{1,12}://[^\x00-\x20/@:\"'<>]*:[^\x00-\x20/@\"'<>]+@" + _HOST
 
 #: Kinds in the order in which spans with the same start are listed.
-KINDS = ("assign", "access", "hex", "account", "opaque", "endpoint")
+KINDS = ("assign", "access", "hex", "account", "opaque", "endpoint", "login")
 #: What a kind is part of a credential as.
-ROLE = {"access": "identifier", "account": "identifier", "assign": "secret", "hex": "secret", "opaque": "secret", "endpoint": "endpoint"}
+ROLE = {"access": "identifier", "account": "identifier", "assign": "secret", "hex": "secret", "opaque": "secret", "endpoint": "endpoint", "login": "secret"}
 #: A weak kind needs one of these roles nearby.
 NEEDS = {"account": ("secret",), "opaque": ("identifier", "endpoint"), "endpoint": ("secret",)}
 
@@ -74,6 +78,7 @@ def strong_spans(text: Column) -> Column:
         _spans(text, "assign", ASSIGN, value),
         _spans(text, "access", ACCESS, lambda s: F.length(s["hit"]) >= MIN_ACCESS),
         _spans(text, "hex", HEX, lambda s: F.lit(True)),
+        _spans(text, "login", LOGIN, lambda s: F.lit(True)),
     )
 
 
