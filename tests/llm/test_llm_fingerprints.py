@@ -76,3 +76,16 @@ def test_edges(spark, tables, edges):
 def test_few_rows(spark, tables, rows):
     found = op10_fingerprints(spark, tables(rows)).collect()
     assert [r["near_next"] for r in found] == [1.0] * len(rows)
+
+
+def test_texts_on_two_sides_of_the_limit_are_alike(spark, tables, prose):
+    text = prose(400, 9)
+    wordless = "".join(chr(0x4E00 + (i * i * 7919 + i * 31) % 5000) for i in range(3000))
+    pairs = [(text[:1000], text[:1300]), (text[:1300], text[:1000]), (text[:1000], prose(300, 10)), (wordless, wordless[:2900] + "漢字" * 20)]
+    rows = [(i, t) for i, t in enumerate(t for pair in pairs for t in pair)]
+    found = {r["doc_id"]: r for r in op10_fingerprints(spark, tables(rows)).collect()}
+    near = [found[2 * i]["near_next"] for i in range(len(pairs))]
+    assert near[0] > 0.8 and near[1] == pytest.approx(near[0]) and near[2] < 0.4 and near[3] > 0.9
+    # The last quarter of 1,200 code points gives way to a short next text.
+    edited = op10_fingerprints(spark, tables([(1, text[:1200]), (2, "a few words")])).where("doc_id = 1").first()
+    assert edited["near_edited"] > 0.7

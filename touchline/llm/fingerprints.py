@@ -3,8 +3,10 @@
 A k-mer of consecutive units is chosen if its minimal inner s-mer (by hash) is its
 first or its last one.  That depends on the k-mer alone, so equal passages choose equal
 anchors wherever they stand, and an edit changes only the anchors that it touches.
-Units are words; a text of fewer than ``CHAR_LIMIT`` code points, too short for enough
-words, is cut into code points.  An anchor is the k-mer's hash with its place.
+Units are words; a text of fewer than ``CHAR_LIMIT`` code points, or of fewer than one word
+to ``WORD_LIMIT``, has too few words and is cut into code points.  Any text can be, so a text
+of words is compared with a text of code points in code points.  An anchor is the k-mer's
+hash with its place.
 
 Anchors match if hash and place agree up to a shift of ``SHIFT`` units; the likeness of
 two fingerprints is the share of matching anchors of both (Dice).
@@ -24,19 +26,29 @@ from touchline.llm.common import words_of
 K, S = 8, 2  # units of a k-mer and of an inner s-mer
 SHIFT = 256  # units by which matching anchors may be apart, at least
 CHAR_LIMIT = 1024
+WORD_LIMIT = 32  # code points to a word, at most, on average
 
 ANCHORS = "array<struct<hash:bigint,place:int>>"
 
 
+def by_words(text: Column) -> Column:
+    """Whether a text's units are words."""
+    return (F.length(text) >= CHAR_LIMIT) & (F.size(words_of(text)) * WORD_LIMIT >= F.length(text))
+
+
+def characters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def units(text: Column) -> Column:
-    return F.when(F.length(text) < CHAR_LIMIT, F.filter(F.split(text, ""), lambda c: c != "")).otherwise(words_of(text))
+    return F.when(by_words(text), words_of(text)).otherwise(characters(text))
 
 
 def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
+def anchors(text: Column, k: int = K, s: int = S, cut=units) -> Column:
     """Anchors of a text, in order of place: array of (hash, place)."""
 
     def chosen(inner: Column) -> Column:
@@ -62,7 +74,7 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         whole = F.array(F.struct(F.xxhash64(hashes).alias("hash"), F.lit(0).alias("place")))
         return F.when(n >= k, long(hashes)).when(n > 0, whole).otherwise(F.array()).cast(ANCHORS)
 
-    return _let(F.transform(units(text), lambda u: F.xxhash64(u)), of)
+    return _let(F.transform(cut(text), lambda u: F.xxhash64(u)), of)
 
 
 def printed(found: Column) -> Column:
@@ -84,6 +96,18 @@ def likeness(a: Column, b: Column, shift: int = SHIFT) -> Column:
     return F.when(total == 0, F.lit(1.0)).otherwise(met / total)
 
 
+def compared(a: Column, b: Column, own: Column, other: Column, a_words: Column, b_words: Column) -> Column:
+    """Likeness of two texts with anchors ``own`` and ``other``, in code points unless both are of words."""
+
+    def pointed(text: Column, found: Column, words: Column) -> Column:
+        return F.when(words, anchors(text, cut=characters)).otherwise(found)
+
+    # Bound first: ``likeness`` names its arguments several times, and anchors are dear.
+    both = F.struct(pointed(a, own, a_words).alias("a"), pointed(b, other, b_words).alias("b"))
+    mixed = _let(both, lambda p: likeness(p["a"], p["b"]))
+    return F.when(a_words == b_words, likeness(own, other)).otherwise(mixed)
+
+
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``next``, a struct of ``columns`` of the row after, by ``doc_id``; the last gets the first.
 
@@ -135,7 +159,10 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         joined.select("doc_id", "text", F.col("next.text").alias("after"), edited.alias("edited"))
         .select(
             "doc_id",
+            "text",
             "edited",
+            "after",
+            *(by_words(F.col(c)).alias(f"{c}_words") for c in ("text", "edited", "after")),
             F.length("text").cast("bigint").alias("n_chars"),
             anchors(F.col("text")).alias("own"),
             anchors(F.col("edited")).alias("other"),
@@ -147,7 +174,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
             printed(F.col("own")).alias("fingerprint"),
             printed(F.col("other")).alias("edited_fingerprint"),
-            likeness(F.col("own"), F.col("other")).alias("near_edited"),
-            likeness(F.col("own"), F.col("following")).alias("near_next"),
+            compared(*map(F.col, ("text", "edited", "own", "other", "text_words", "edited_words"))).alias("near_edited"),
+            compared(*map(F.col, ("text", "after", "own", "following", "text_words", "after_words"))).alias("near_next"),
         )
     )
