@@ -71,3 +71,75 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_remo
        sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN covered USING (doc_id)
 """
+
+
+def _clustering(dims: int = 64, k: int = 40, rounds: int = 5, scale: int = 256, seed: int = 2) -> str:
+    """The rounds written out one by one."""
+
+    def assigned(name: str, centroids: str) -> str:
+        apart = "list_sum(list_transform(range(1, len(v.x) + 1), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT"
+        return f"""{name} AS MATERIALIZED (
+  SELECT row, vec_id, x, least.d AS distance, least.c AS cluster FROM (
+    SELECT v.row, v.vec_id, v.x, min({{'d': {apart}, 'c': c.c}}) AS least FROM vectors v, {centroids} c GROUP BY ALL))"""
+
+    parts = []
+    for i in range(rounds):
+        parts.append(assigned(f"a{i}", f"c{i}"))
+        parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.x, c{i}.x) AS x FROM c{i} LEFT JOIN (
+    SELECT cluster AS c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS x FROM (
+      SELECT cluster, p, sum(y)::BIGINT AS s, count(*) AS n
+      FROM (SELECT cluster, unnest(x) AS y, unnest(range(len(x))) AS p FROM a{i}) GROUP BY ALL)
+    GROUP BY cluster) m USING (c))""")
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, x) - 1)::INTEGER AS c, x
+  FROM (SELECT sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM vectors ORDER BY h, x LIMIT {k})
+), {", ".join(parts)}, {assigned("final", f"c{rounds}")}
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.x, ',')) AS centroid_sha256
+FROM final JOIN c{rounds} ON cluster = c
+"""
+
+
+CLUSTERING = _clustering()
+
+INFILL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), cut AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS u, ('0x' || h[9:16])::BIGINT % (n + 1) AS v,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), parts AS (
+  SELECT *, substr(t, 1, least(u, v)) AS p, substr(t, least(u, v) + 1, abs(u - v)) AS m, substr(t, greatest(u, v) + 1) AS s
+  FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS x,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, octet_length(encode(t))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(x, (i // 4) * 5 + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM p
+"""

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline.llm import (
     bpe,
+    clustering,
     fingerprints,
+    infill,
     language,
     neardup,
     oracles,
@@ -17,8 +19,10 @@ from touchline.llm import (
     secrets,
     substrings,
     toxicity,
+    warc,
 )
-from touchline.llm.common import documents, fold, labelled, labels, text_keys, words_of
+from touchline.llm.common import documents, fold, importable, labelled, labels, text_keys, words_of
+from touchline.session import work_dir
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -125,6 +129,43 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(documents(spark, sf_dir))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centroid clustering by equal-average equal-variance search."""
+    vectors = importable(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return clustering.with_inertia(*clustering.cluster(vectors)).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle transformation and its reversal."""
+
+    def digest(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    made = infill.fill_in_middle(documents(spark, sf_dir))
+    text = infill.restored(F.col("form"), F.col("output"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(text).alias("restored_sha256"),
+    )
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC archives of all pages, written and read back."""
+    pages = importable(spark).read.parquet(f"{sf_dir}/pages.parquet")
+    root = work_dir(spark, "warc")
+    warc.write_archives(pages, root)
+    return warc.read_archives(spark, root).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -138,10 +179,16 @@ QUERIES = {
         op8_quality,
         op9_substrings,
         op10_fingerprints,
+        op11_clustering,
+        op12_infill,
+        op13_warc,
     )
 }
 ORACLES = {
     "op3_quality_rules": oracles.QUALITY_RULES,
     "op6_neardup": oracles.NEAR_DUPLICATES,
     "op9_substrings": oracles.SUBSTRINGS,
+    "op11_clustering": oracles.CLUSTERING,
+    "op12_infill": oracles.INFILL,
+    "op13_warc": oracles.WARC,
 }
