@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from touchline.operators import attribution, health, sessions, stats
 from touchline.plans import adapter
 from touchline.plans.catalog import plain_time, query
+from touchline.session import work_dir
 
 # In the provided events a purchase is the conversion.
 _CONVERSION = "purchase"
 
-_SESSIONS_SQL = """
+SESSIONS_SQL = """
 , marked AS (
   SELECT *, CASE WHEN event_time - lag(event_time) OVER w < 1800 THEN 0 ELSE 1 END AS starts
   FROM raw WINDOW w AS (PARTITION BY user_id ORDER BY event_time, event_id, part, pos)
@@ -28,7 +29,7 @@ _SESSIONS_SQL = """
 """
 
 
-@query(_SESSIONS_SQL + "SELECT * FROM user_sessions")
+@query(SESSIONS_SQL + "SELECT * FROM user_sessions")
 def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of each user with their first touch."""
     rows = sessions.user_sessions(adapter.raw_events(spark, sf_dir))
@@ -53,7 +54,7 @@ def first_touch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    _SESSIONS_SQL
+    SESSIONS_SQL
     + """, conversions AS (
   SELECT * FROM (
     SELECT *, ROW_NUMBER() OVER (
@@ -118,6 +119,33 @@ def hop_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(stats.hopping_stats(_with_platform(adapter.raw_events(spark, sf_dir))))
 
 
+@query("""
+SELECT make_timestamp((event_time // 60 - back) * 60000000) AS window_start,
+       make_timestamp((event_time // 60 - back + 5) * 60000000) AS window_end,
+       event_type, platform, count(*) AS event_count, count(DISTINCT user_id) AS user_count,
+       TRUE AS estimate_within_bound
+FROM raw, (SELECT unnest([0, 1, 2, 3, 4]) AS back) GROUP BY ALL
+""")
+def hop_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows from stored sketches, held against the exact count of users.
+
+    An estimate may be off by five standard errors of its sketch.
+    """
+    events = _with_platform(adapter.raw_events(spark, sf_dir))
+    path = work_dir(spark, "panes")
+    stats.sketched_panes(events).write.parquet(path)
+    rough = stats.stats_from_sketches(spark.read.parquet(path))
+    exact = stats.hopping_stats(events)
+    on = ["window_start", "window_end", "event_type", "platform"]
+    same = [exact[name].eqNullSafe(rough[name]) for name in on]
+    off = F.abs(rough["user_estimate"] - exact["user_count"])
+    bound = 5 * stats.SKETCH_ERROR * exact["user_count"] + 0.5
+    both = exact.join(rough, same)
+    agree = both.where(exact["event_count"] == rough["event_count"])
+    rows = agree.select(exact["*"], (off <= bound).alias("estimate_within_bound"))
+    return _plain(rows)
+
+
 @query("""
 SELECT make_timestamp(event_time // 60 * 60000000) AS period_start,
        make_timestamp((event_time // 60 + 1) * 60000000) AS period_end,
