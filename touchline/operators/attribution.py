@@ -79,10 +79,27 @@ def first_touch(
     of each user is repeated for every salt, so a user with a third of all
     conversions is no single task, whatever the size.
     """
+    return _spread_join(unique_conversions(events, event_type), first_session(sessions), salts)
+
+
+def _spread_join(conversions: DataFrame, touches: DataFrame, salts: int) -> DataFrame:
+    """Conversions with the one touch of their user, which is repeated for every salt."""
     spread = F.pmod(F.xxhash64("event_id"), F.lit(salts)).alias("salt")
-    conversions = unique_conversions(events, event_type).select("*", spread)
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    touches = first_session(sessions).select("*", every.alias("salt"))
-    return conversions.join(touches, ["user_id", "salt"]).select(
+    salted = touches.select("*", every.alias("salt"))
+    return conversions.select("*", spread).join(salted, ["user_id", "salt"]).select(
         *_attributed(F.col("first_touch_channel"), F.col("first_touch_campaign"), "first_touch")
     )
+
+
+def stream_first_touch(
+    events: DataFrame, touches: DataFrame, event_type: str = CONVERSION, salts: int = SALTS
+) -> DataFrame:
+    """Conversions of a stream joined to a stored table with one row per user.
+
+    ``touches`` has the columns of :func:`first_session`.  No plan is changed at
+    run time in a micro-batch, so a hot user's conversions are spread by salt
+    here too.  Every copy of a conversion gives a row: write to a
+    sink that overwrites by ``conversion_id``, or deduplicate when reading.
+    """
+    return _spread_join(_conversions(events, event_type), touches, salts)

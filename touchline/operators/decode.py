@@ -6,6 +6,8 @@ or unusable field becomes NULL and its neighbours survive.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from touchline import schemas
@@ -33,13 +35,28 @@ def _typed(field: T.StructField) -> Column:
     return text.try_cast(field.dataType).alias(field.name)
 
 
-def decode(records: DataFrame, schema: T.StructType) -> DataFrame:
+def narrowed(schema: T.StructType, columns: Sequence[str]) -> T.StructType:
+    """The fields of ``schema`` named in ``columns``, in the order of the schema."""
+    unknown = set(columns) - set(schema.names)
+    if unknown:
+        raise ValueError(f"not in the schema: {sorted(unknown)}")
+    return T.StructType([f for f in schema.fields if f.name in columns])
+
+
+def decode(
+    records: DataFrame, schema: T.StructType, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Rows of ``schema`` from the JSON text in ``value``.
 
+    With ``columns`` only these fields are parsed: the parser skips the others
+    without building their values, and no map is made that nobody reads.  Which
+    records count as objects does not depend on it.
+
     ``partition`` and ``offset`` are kept where the source has them.  Each
     record is parsed once; only those flagged as malformed are looked at again,
     to tell broken JSON from an object with one unusable field.
     """
+    schema = schema if columns is None else narrowed(schema, columns)
     value = F.col("value").cast("string")
     parsed = F.from_json(value, _lenient(schema), {"columnNameOfCorruptRecord": _CORRUPT})
 

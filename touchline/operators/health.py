@@ -35,3 +35,16 @@ def health_report(progress: DataFrame, now: Column | None = None) -> DataFrame:
             "lag_ms_max",
         )
     )
+
+
+def query_report(progress: DataFrame) -> DataFrame:
+    """What each query read and what came too late for it, by period of recorded progress."""
+    window = F.window("timestamp", PERIOD)
+    counts = progress.groupBy("query", window).agg(
+        F.sum("records").alias("records"),
+        F.sum("late_groups").alias("late_groups"),
+        F.max("lag_ms").alias("lag_ms_max"),
+        F.max("watermark").alias("watermark"),
+    )
+    bounds = F.col("window.start").alias("period_start"), F.col("window.end").alias("period_end")
+    return counts.select("query", *bounds, "records", "late_groups", "lag_ms_max", "watermark")

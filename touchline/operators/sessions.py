@@ -60,3 +60,36 @@ def user_sessions(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
             F.timestamp_seconds("session_start").alias("session_start"),
         )
     )
+
+
+def stream_sessions(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
+    """The sessions of a stream, each once the watermark has closed it.
+
+    ``events`` need a watermark on ``event_timestamp`` and are written in append
+    mode.  State holds one row per open session: its bounds and its first touch.
+    A session closes once the watermark is ``gap`` after its last event; what
+    comes later for it is late and does not count.  The rows are those of
+    :func:`user_sessions`.
+
+    Session windows of Spark also join events exactly ``gap`` apart.  Event times
+    are whole seconds, so half a second less parts those and no others.
+    """
+    time, utm = F.col("event_time"), F.col("utm_params")
+    tie = [c for c in ("event_id", *schemas.POSITION) if c in events.columns]
+    touch = F.struct(
+        utm["utm_source"].alias("first_touch_channel"),
+        utm["utm_campaign"].alias("first_touch_campaign"),
+    )
+    session = F.session_window("event_timestamp", f"{gap * 1000 - 500} milliseconds")
+    return (
+        events.where(F.col("user_id").isNotNull() & time.isNotNull())
+        .groupBy(session, "user_id")
+        .agg(F.min("event_time").alias("start"), F.min_by(touch, F.struct(time, *tie)).alias("touch"))
+        .select(
+            "user_id",
+            F.concat_ws("-", "user_id", "start").alias("session_id"),
+            "touch.first_touch_channel",
+            "touch.first_touch_campaign",
+            F.timestamp_seconds("start").alias("session_start"),
+        )
+    )

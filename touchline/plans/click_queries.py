@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline.operators import clicks
 from touchline.plans import adapter
 from touchline.plans.catalog import query
+from touchline.session import work_dir
+from touchline.sinks import click_table as stored
 
 _NOW = "2024-02-29 00:00:00"
 
@@ -201,3 +206,45 @@ FROM raw WHERE gclid IS NOT NULL
 def click_items_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items for one click-id name, without event ids."""
     return flat_items(clicks.named_click_items(adapter.raw_events(spark, sf_dir), "gclid", _now()))
+
+
+# A clock before any expiry, then one in the middle of it.
+_EARLY, _LATE = "2024-01-20 00:00:00", "2024-02-20 12:00:00"
+
+
+@query(f"""
+, sightings AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY copy, anonymous_id, k, v
+    ORDER BY click_time DESC NULLS LAST, event_time ASC NULLS FIRST, part, pos) AS row_num
+  FROM entries
+), items AS (
+  SELECT anonymous_id AS fingerprint, k AS click_id_name, click_time, user_id, v AS click_id, event_id,
+         click_time // 1000 + 2592000 AS expire_at
+  FROM sightings WHERE row_num = 1
+), newest AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY fingerprint, click_id_name
+    ORDER BY click_time DESC NULLS LAST, event_id DESC, click_id DESC, user_id DESC) AS rn
+  FROM items
+)
+SELECT fingerprint, click_id_name, click_time, user_id, click_id, event_id, expire_at,
+       CAST(0 AS BIGINT) AS expired_days
+FROM newest
+WHERE rn = 1 AND (expire_at IS NULL OR expire_at > CAST(epoch(TIMESTAMP '{_LATE}') AS BIGINT))
+""")
+def click_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucketed click table after three writes, the first of them before any expiry.
+
+    ``expired_days`` counts the days in the table that end before the last write.
+    """
+    database = f"clicks_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, 'clicks')}'")
+    table = f"{database}.items"
+    clocks = [datetime.fromisoformat(f"{text}+00:00") for text in (_EARLY, _LATE, _LATE)]
+    for events, now in zip(adapter.raw_events_by_copy(spark, sf_dir), clocks):
+        items = clicks.click_items(clicks.latest_clicks(events), F.lit(now))
+        stored.put_items(items, table, now)
+    over = spark.table(table).where(F.col(stored.EXPIRY_DAY) < F.lit(_LATE[:10]))
+    (days,) = over.agg(F.count_distinct(stored.EXPIRY_DAY)).first()
+    alive = stored.read_items(spark, table, F.lit(clocks[-1]))
+    fields = "fingerprint", "click_id_name", "click_time", "user_id", "click_id", "event_id", "expire_at"
+    return alive.select(*fields, F.lit(days).cast("bigint").alias("expired_days"))

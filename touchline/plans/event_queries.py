@@ -82,16 +82,16 @@ def decode_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CAST(id AS VARCHAR) AS event_id,
+SELECT event_id,
        CASE WHEN n % 3 = 0 THEN NULL ELSE 's' || n END AS named,
        CASE WHEN n % 3 = 0 THEN 's' || n END AS unnamed, 'y' AS other,
        CASE WHEN n % 3 = 0 THEN '{"null":"s' || n || '","other":"y"}'
             ELSE '{"' || event_type || '":"s' || n || '","other":"y"}' END AS text
-FROM base
+FROM raw
 """)
 def null_map_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maps built with NULL keys, which are written as the literal key."""
-    events = adapter.unique_events(spark, sf_dir)
+    events = adapter.raw_events(spark, sf_dir)
     n = F.substring("page_context.url", 4, 9).cast("int")
     key = F.when(n % 3 != 0, F.col("event_type"))
     built = events.withColumn("keys", F.array(key, F.lit("other"))).withColumn(

@@ -13,9 +13,14 @@ from touchline.plans.catalog import query
 from touchline import schemas
 
 
-def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+# What each report reads; nothing else is parsed.
+_DEDUP_FIELDS = ["event_id", "event_type", "user_id", "event_properties", "event_time"]
+_CLICK_FIELDS = ["anonymous_id", "utm_params", "clid_params", "event_time"]
+
+
+def _decoded(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     topic = adapter.as_topic(adapter.raw_events(spark, sf_dir))
-    return with_event_timestamp(decode(topic, schemas.RAW_EVENTS))
+    return with_event_timestamp(decode(topic, schemas.RAW_EVENTS, columns))
 
 
 @query("""
@@ -29,7 +34,7 @@ FROM firsts WHERE rn = 1 GROUP BY event_type, hour HAVING count(*) > 1
 """)
 def sql_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events, users and revenue per hour, in SQL over deduplicated events."""
-    dedup_events(_decoded(spark, sf_dir)).createOrReplaceTempView("distinct_events")
+    dedup_events(_decoded(spark, sf_dir, _DEDUP_FIELDS)).createOrReplaceTempView("distinct_events")
     return spark.sql(
         """
         SELECT event_type, event_time DIV 3600 AS hour, count(*) AS events,
@@ -50,7 +55,7 @@ FROM entries GROUP BY k, utm_campaign
 """)
 def sql_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks per channel and campaign, in SQL over the unnested clicks."""
-    entries = explode_clicks(_decoded(spark, sf_dir))
+    entries = explode_clicks(_decoded(spark, sf_dir, _CLICK_FIELDS))
     campaign = F.col("utm_params")["utm_campaign"].alias("campaign")
     entries.select("k", "v", "click_time", campaign).createOrReplaceTempView("click_entries")
     return spark.sql(

@@ -8,26 +8,29 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from touchline import schemas
-from touchline.operators import attribution, dedup, enrich, stats
+from touchline.operators import attribution, dedup, enrich, health, stats
 from touchline.operators.decode import decode
 from touchline.plans import adapter
 from touchline.plans.catalog import FLAT_SQL, flat_columns, plain_time, query
 from touchline.plans.click_queries import STORE_SQL, flat_items
+from touchline.plans.report_queries import SESSIONS_SQL
 from touchline.session import work_dir
 from touchline.sinks import archive, changelog, click_store, reports
 from touchline.sinks.commits import commit_id
 from touchline.sources import topics
 from touchline.streaming import jobs, windows
+from touchline.streaming.health import read_progress, recorded
 from touchline.streaming.best_rows import BestRows
 
 # Long enough that no key expires while a topic is drained.
 _NO_EXPIRY = 7 * 24 * 60 * 60
 _MICRO_BATCHES = 3
 _START = datetime(2024, 2, 1, tzinfo=timezone.utc)
+_STATS_FIELDS = ["event_type", "user_id", "event_time"]
 _BEFORE_ANY_EXPIRY = "2024-01-01 00:00:00"
 
 
@@ -39,6 +42,36 @@ def _export(spark: SparkSession, topic: DataFrame) -> tuple[str, int]:
     return path, per_batch
 
 
+def _export_by_time(spark: SparkSession, events: DataFrame, late: Column | None = None) -> tuple[str, int]:
+    """The topic as files in thirds of the time; rows that are ``late`` come with the last."""
+    first, last = events.agg(F.min("event_time"), F.max("event_time")).first()
+    span = (last - first) // _MICRO_BATCHES + 1
+    third = F.floor((F.col("event_time") - first) / span)
+    if late is not None:
+        third = F.when(late, _MICRO_BATCHES - 1).otherwise(third)
+    parted = events.withColumn("third", third)
+    per_batch = spark.sparkContext.defaultParallelism
+    path = work_dir(spark, "topic")
+    for k in range(_MICRO_BATCHES):
+        part = adapter.as_topic(parted.where(F.col("third") == k).drop("third"))
+        part.repartition(per_batch).write.mode("append").parquet(path)
+    return path, per_batch
+
+
+def _to_table(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Run an appending query over what is there and read its table."""
+    out = work_dir(spark, label)
+    writer = rows.writeStream.format("parquet").option("path", out)
+    _drain(writer.option("checkpointLocation", work_dir(spark, "state")))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def _delayed(events: DataFrame) -> Column:
+    """Some events of the first eight days."""
+    start = events.agg(F.min("event_time")).first()[0]
+    return (F.col("event_time") < start + 8 * 86400) & (F.col("event_id").cast("bigint") % 7 == 0)
+
+
 def _drain(writer: DataStreamWriter) -> None:
     stream = writer.trigger(availableNow=True).start()
     stream.awaitTermination()
@@ -170,13 +203,10 @@ GROUP BY ALL
 """)
 def tumble_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute windows of a stream that the watermark has closed."""
-    path, _ = _export(spark, adapter.as_topic(adapter.raw_events(spark, sf_dir)))
-    events = decode(topics.exported_stream(spark, path), schemas.RAW_EVENTS)
-    out = work_dir(spark, "stats")
-    writer = windows.stream_stats(events, ["event_type"]).writeStream.format("parquet")
-    _drain(writer.option("path", out).option("checkpointLocation", work_dir(spark, "state")))
-    names = ("window_start", "window_end")
-    return spark.read.parquet(out).withColumns({name: plain_time(name) for name in names})
+    path, per_batch = _export_by_time(spark, adapter.raw_events(spark, sf_dir))
+    events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, _STATS_FIELDS)
+    rows = _to_table(spark, windows.stream_stats(events, ["event_type"]), "stats")
+    return rows.withColumns({name: plain_time(name) for name in ("window_start", "window_end")})
 
 
 def _archive_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,21 +352,97 @@ def hop_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     The topic comes in thirds of the time; some rows of the first days come with the last.
     """
     raw = adapter.raw_events(spark, sf_dir)
-    start = raw.agg(F.min("event_time")).first()[0]
-    delayed = (F.col("event_time") < start + 8 * 86400) & (F.col("event_id").cast("bigint") % 7 == 0)
-    third = F.least(F.floor((F.col("event_time") - start) / 864000), F.lit(2))
-    parted = raw.withColumn("third", F.when(delayed, 2).otherwise(third))
-    path = work_dir(spark, "topic")
-    for k in range(3):
-        part = adapter.as_topic(parted.where(F.col("third") == k).drop("third")).coalesce(1)
-        part.write.mode("append").parquet(path)
-    events = decode(topics.exported_stream(spark, path, 1), schemas.RAW_EVENTS)
-    out = work_dir(spark, "stats")
-    counts = windows.stream_stats(events, ["event_type"], "5 minutes", "1 minute")
-    writer = counts.writeStream.format("parquet").option("path", out)
-    _drain(writer.option("checkpointLocation", work_dir(spark, "state")))
-    names = ("window_start", "window_end")
-    return spark.read.parquet(out).withColumns({name: plain_time(name) for name in names})
+    path, per_batch = _export_by_time(spark, raw, _delayed(raw))
+    events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, _STATS_FIELDS)
+    rows = _to_table(spark, windows.stream_stats(events, ["event_type"], "5 minutes", "1 minute"), "stats")
+    return rows.withColumns({name: plain_time(name) for name in ("window_start", "window_end")})
+
+
+@query(SESSIONS_SQL + """
+, bounds AS (
+  SELECT user_id || '-' || min(event_time) AS session_id, max(event_time) AS last_time
+  FROM numbered GROUP BY user_id, session
+)
+SELECT user_sessions.* FROM user_sessions JOIN bounds USING (session_id)
+WHERE last_time + 1800 <= (SELECT max(event_time) - 5 FROM raw)
+""")
+def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a stream in time order that the watermark has closed."""
+    path, per_batch = _export_by_time(spark, adapter.raw_events(spark, sf_dir))
+    fields = ["event_id", "user_id", "utm_params", "event_time"]
+    events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, fields)
+    rows = _to_table(spark, windows.stream_sessions(events), "sessions")
+    return rows.withColumn("session_start", plain_time("session_start"))
+
+
+_DELAYED_SQL = _LATE_SQL[: _LATE_SQL.index(", on_time")]
+
+
+@query(f"""{_DELAYED_SQL}
+SELECT 'minute stats' AS query, (SELECT count(*) FROM raw) AS records,
+       (SELECT count(*) FROM (
+          SELECT DISTINCT event_time // 60, event_type, user_id FROM timed WHERE delayed)) AS late_groups
+""")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the health report of a recorded run says was read and came too late.
+
+    Minute statistics run over several micro-batches; some rows of the first days come last.
+    """
+    raw = adapter.raw_events(spark, sf_dir)
+    path, per_batch = _export_by_time(spark, raw, _delayed(raw))
+    events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, _STATS_FIELDS)
+    counts = windows.stream_stats(events, ["event_type"]).writeStream.format("noop")
+    progress = work_dir(spark, "progress")
+    with recorded(spark, progress):
+        _drain(counts.queryName("minute stats").option("checkpointLocation", work_dir(spark, "state")))
+    report = health.query_report(read_progress(spark, progress))
+    sums = [F.sum(name).alias(name) for name in ("records", "late_groups")]
+    return report.where("query = 'minute stats'").groupBy("query").agg(*sums)
+
+
+@query("""
+, hot AS (SELECT *, CASE WHEN id % 3 = 0 THEN '1' ELSE user_id END AS uid FROM raw)
+SELECT event_id AS conversion_id, uid AS user_id, event_type AS conversion_type,
+       event_time AS conversion_time, c_mktsegment AS attributed_channel,
+       c_name AS attributed_campaign, 'first_touch' AS attribution_model
+FROM hot JOIN customer ON uid = CAST(c_custkey AS VARCHAR)
+WHERE event_type = 'purchase'
+""")
+def first_touch_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversions of a stream, a third of them of one user, with that of a stored table."""
+    raw = adapter.raw_events(spark, sf_dir)
+    hot = raw.withColumn("user_id", F.when(F.col("event_id").cast("bigint") % 3 == 0, "1").otherwise(F.col("user_id")))
+    path, per_batch = _export(spark, adapter.as_topic(hot))
+    fields = ["event_id", "event_type", "user_id", "event_time"]
+    events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, fields)
+    touches = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.col("c_mktsegment").alias("first_touch_channel"),
+        F.col("c_name").alias("first_touch_campaign"),
+    )
+    return _to_table(spark, attribution.stream_first_touch(events, touches, "purchase"), "conversions")
+
+
+@query("""
+SELECT 0 AS batch, event_id, event_time FROM raw WHERE copy = 0
+UNION ALL SELECT 2, event_id, event_time FROM raw WHERE copy = 2
+""")
+def event_stream_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the event job with its two minutes of memory publishes in each micro-batch.
+
+    Originals, later copies and earlier copies come one after another, within two minutes.  A
+    later copy is no improvement, so the second micro-batch publishes nothing.
+    """
+    per_batch = spark.sparkContext.defaultParallelism
+    path, log = work_dir(spark, "topic"), work_dir(spark, "changelog")
+    for events in adapter.raw_events_by_copy(spark, sf_dir):
+        adapter.as_topic(events).repartition(per_batch).write.mode("append").parquet(path)
+    sinks = jobs.EventSinks(
+        publish=lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+    )
+    _drain(jobs.event_job(topics.exported_stream(spark, path, per_batch), sinks, work_dir(spark, "state")))
+    value = F.from_json("value", schemas.struct(event_id=schemas.TEXT, event_time=schemas.LONG))
+    return spark.read.parquet(log).select("batch", value.alias("event")).select("batch", "event.*")
 
 
 def _in_two_commits(spark: SparkSession, sf_dir: str, report, put, label: str) -> str:

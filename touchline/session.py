@@ -25,6 +25,8 @@ SCALE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Sessions of one user are joined in each map task first, so a hot user sends few rows.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

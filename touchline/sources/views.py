@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from touchline import schemas
@@ -16,10 +18,16 @@ TOPIC_VIEWS = {
 }
 
 
-def create_topic_view(records: DataFrame, name: str) -> None:
+def create_topic_view(
+    records: DataFrame, name: str, columns: Sequence[str] | None = None
+) -> None:
     """Decode topic records and make them queryable as ``name``.
 
-    The view has the declared columns, ``event_timestamp`` and the source
-    position, and is streaming if the records are.
+    The view has the declared columns, or those of them named in ``columns``,
+    then ``event_timestamp`` where it has ``event_time``, and the source
+    position.  It is streaming if the records are.  Name the columns where a
+    job reads few: the others are then not parsed.
     """
-    with_event_timestamp(decode(records, TOPIC_VIEWS[name])).createOrReplaceTempView(name)
+    rows = decode(records, TOPIC_VIEWS[name], columns)
+    timed = with_event_timestamp(rows) if "event_time" in rows.columns else rows
+    timed.createOrReplaceTempView(name)

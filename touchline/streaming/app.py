@@ -29,15 +29,31 @@ def topic_jobs(
     attributed_topic: str = ATTRIBUTED_TOPIC,
     exposure_topic: str = EXPOSURE_TOPIC,
     store_clicks: bool = False,
+    archive_table: str | None = None,
+    attributed_table: str | None = None,
+    click_table: str | None = None,
 ) -> dict[str, DataStreamWriter]:
-    """The jobs by name, ready to start; tables and checkpoints go below ``root``."""
-    clicks = f"{root}/click_events" if store_clicks else None
-    sinks = jobs.EventSinks(archive=f"{root}/events", publish=publish, clicks=clicks)
+    """The jobs by name, ready to start; tables and checkpoints go below ``root``.
+
+    ``archive_table`` and ``attributed_table`` name catalog tables whose format has
+    MERGE; they are upserted in place of the archives below ``root``.
+    """
+    clicks = f"{root}/click_events" if store_clicks and not click_table else None
+    sinks = jobs.EventSinks(
+        archive=f"{root}/events",
+        publish=publish,
+        clicks=clicks,
+        archive_table=archive_table,
+        click_table=click_table,
+    )
     checkpoint = f"{root}/checkpoints"
     return {
         "events": jobs.event_job(read(input_topic), sinks, f"{checkpoint}/events"),
         "attributed": jobs.attributed_job(
-            read(attributed_topic), f"{root}/attributed_events", f"{checkpoint}/attributed"
+            read(attributed_topic),
+            f"{root}/attributed_events",
+            f"{checkpoint}/attributed",
+            archive_table=attributed_table,
         ),
         "exposure": jobs.exposure_job(
             read(exposure_topic), f"{root}/exposure_events", f"{checkpoint}/exposure"
@@ -54,6 +70,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--attributed-topic", default=ATTRIBUTED_TOPIC)
     parser.add_argument("--exposure-topic", default=EXPOSURE_TOPIC)
     parser.add_argument("--store-clicks", action="store_true", help="keep the click store")
+    parser.add_argument("--archive-table", help="table with MERGE for the event archive")
+    parser.add_argument("--attributed-table", help="table with MERGE for attributed events")
+    parser.add_argument("--click-table", help="catalog table for the click store")
     parser.add_argument("--max-records", type=int, help="records per micro-batch and topic")
     parser.add_argument(
         "--kafka-option", action="append", default=[], metavar="NAME=VALUE",
@@ -77,6 +96,9 @@ def main(argv: list[str] | None = None) -> None:
         args.attributed_topic,
         args.exposure_topic,
         args.store_clicks,
+        args.archive_table,
+        args.attributed_table,
+        args.click_table,
     )
     spark.streams.addListener(ProgressListener(spark, f"{args.root}/progress"))
     for name, job in started.items():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,6 +20,8 @@ PROGRESS = struct(
     records=LONG,
     records_per_second=DOUBLE,
     lag_ms=LONG,
+    watermark=TIME,
+    late_groups=LONG,
 )
 
 
@@ -26,19 +30,30 @@ def observed(events: DataFrame) -> DataFrame:
     return events.observe(_METRIC, F.max("event_time").alias("newest"))
 
 
+def _instant(text: str | None) -> datetime | None:
+    return None if text is None else datetime.fromisoformat(text).astimezone(timezone.utc)
+
+
 def progress_row(progress) -> tuple:
-    """One ``PROGRESS`` row; the lag is NULL where no event time was observed."""
-    stamp = datetime.fromisoformat(progress.timestamp.replace("Z", "+00:00"))
+    """One ``PROGRESS`` row; the lag is NULL where no event time was observed.
+
+    ``late_groups`` is what the watermark kept out of state.  Spark counts it
+    behind the partial aggregation: events of one window, key and user that
+    arrive late in one micro-batch are one.
+    """
+    stamp = _instant(progress.timestamp)
     metric = progress.observedMetrics.get(_METRIC)
     newest = None if metric is None else metric["newest"]
     lag = None if newest is None else round((stamp.timestamp() - newest) * 1000)
     return (
         progress.name or str(progress.id),
         progress.batchId,
-        stamp.astimezone(timezone.utc),
+        stamp,
         progress.numInputRows,
         float(progress.inputRowsPerSecond),
         lag,
+        _instant(progress.eventTime.get("watermark")),
+        sum(op.numRowsDroppedByWatermark for op in progress.stateOperators),
     )
 
 
@@ -75,5 +90,19 @@ class ProgressListener(StreamingQueryListener):
         self.flush()
 
 
+@contextmanager
+def recorded(spark: SparkSession, path: str) -> Iterator[None]:
+    """Record the progress of all queries that run meanwhile to ``path``."""
+    listener = ProgressListener(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        yield
+    finally:
+        # Reports come after the fact; none is lost when the listener leaves.
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(listener)
+        listener.flush()
+
+
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROGRESS).parquet(path)

@@ -18,7 +18,7 @@ from touchline import schemas
 from touchline.operators import clicks, enrich
 from touchline.operators.decode import decode
 from touchline.session import configure
-from touchline.sinks import archive, changelog, click_store
+from touchline.sinks import archive, changelog, click_store, click_table
 from touchline.sinks.commits import commit_id, generation, merge_into
 from touchline.streaming.best_rows import STATE_TTL_SECONDS, BestRows, batch_clock
 from touchline.streaming.health import observed
@@ -126,6 +126,7 @@ class EventSinks:
     ``clicks_from`` names the batch from which on clicks are stored, for a store
     that is added to a query that already ran.  ``archive_table`` names a catalog
     table whose format has MERGE; it is upserted in place of commits in ``archive``.
+    ``click_table`` names a catalog table of clicks, bucketed by key, in place of ``clicks``.
     """
 
     archive: str | None = None
@@ -134,6 +135,7 @@ class EventSinks:
     click_rule: str = "latest"
     clicks_from: int = 0
     archive_table: str | None = None
+    click_table: str | None = None
 
 
 def event_job(
@@ -160,19 +162,23 @@ def event_job(
         f"{checkpoint}/best_clicks", click_keys, click_order, ttl_seconds, sinks.clicks_from
     )
 
-    def put_items(rows: DataFrame, now: datetime, commit: str) -> None:
+    def put_items(rows: DataFrame, now: datetime, commit: str | int) -> None:
         if latest:
             items = clicks.click_items(rows, F.lit(now))
         else:
             items = clicks.instance_items(clicks.instance_rows(rows))
-        click_store.put_items(items, sinks.clicks, commit)
+        if sinks.click_table:
+            click_table.put_items(items, sinks.click_table, now)
+        else:
+            click_store.put_items(items, sinks.clicks, commit)
 
     def put_archive(rows: DataFrame, now: datetime, commit: str) -> None:
         if archive_all:
             rows = archive.last_arrivals(enrich.with_hour_partition(rows))
         archive.upsert_archive(enrich.to_event_archive(rows), sinks.archive, commit)
 
-    put_clicks = _committed(checkpoint, sinks.clicks or "", put_items)
+    put_clicks = put_items if sinks.click_table else _committed(checkpoint, sinks.clicks or "", put_items)
+    has_clicks = bool(sinks.clicks or sinks.click_table)
     archived = _committed(checkpoint, sinks.archive or "", put_archive)
 
     def merge_archive(rows: DataFrame, now: datetime, batch_id: int) -> None:
@@ -190,7 +196,7 @@ def event_job(
             archived(rows, now, batch_id)
 
     def process(batch: DataFrame, now: datetime, batch_id: int) -> None:
-        if sinks.clicks and batch_id >= sinks.clicks_from:
+        if has_clicks and batch_id >= sinks.clicks_from:
             entries = clicks.explode_clicks(batch.select(*CLICK_FIELDS))
             entries = entries if latest else clicks.with_click_time_text(entries)
             _write_improved(best_clicks, entries, batch_id, now, put_clicks)
@@ -198,7 +204,7 @@ def event_job(
         if has_archive and archive_all:
             archived(batch, now, batch_id)
 
-    reused = bool(sinks.clicks or archive_all)
+    reused = bool(has_clicks or archive_all)
     return _start(stamped(records, schemas.RAW_EVENTS), checkpoint, process, reused)
 
 

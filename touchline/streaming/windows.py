@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from touchline.operators import enrich, stats
+from touchline.operators import enrich, sessions, stats
 
 # Fixed value: how far out of order events may arrive before they are late.
 WATERMARK = "5 seconds"
@@ -22,10 +22,18 @@ def stream_stats(
     keys: Sequence[str],
     size: str = stats.MINUTE,
     slide: str | None = None,
+    panes: bool = True,
 ) -> DataFrame:
     """Final counts per window; write in append mode.
 
-    Two chained aggregations, per user and then over users, so the exact
-    distinct count needs no set of users in state.
+    Chained aggregations, per user and then over users, so the exact distinct
+    count needs no set of users in state.  Sliding windows are put together from
+    panes unless ``panes`` is false; see :func:`stats.window_stats` for what is
+    late then.
     """
-    return stats.window_stats(with_watermark(events), keys, size, slide)
+    return stats.window_stats(with_watermark(events), keys, size, slide, panes)
+
+
+def stream_sessions(events: DataFrame, gap: int = sessions.SESSION_GAP) -> DataFrame:
+    """Closed sessions with their first touch; write in append mode."""
+    return sessions.stream_sessions(with_watermark(events), gap)
