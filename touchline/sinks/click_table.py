@@ -61,12 +61,15 @@ def read_items(spark: SparkSession, table: str, now: Column | None = None) -> Da
 
 
 def compact(spark: SparkSession, table: str, now: datetime, buckets: int = BUCKETS) -> None:
-    """Replace the table by one with the living items alone, one file per bucket and day.
+    """Rewrite the table with the living items alone, one file per bucket and day.
 
-    No writer may run meanwhile.
+    No writer may run meanwhile.  The items are copied aside first, and a table is
+    known to the catalog only once it is whole, so what fails can be repeated.
     """
-    folded = f"{table}_folded"
-    spark.sql(f"DROP TABLE IF EXISTS {folded}")
-    _append(read_items(spark, table, F.lit(now)), folded, buckets)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {folded} RENAME TO {table}")
+    aside = f"{table}_aside"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        _append(read_items(spark, table, F.lit(now)), aside, buckets)
+        spark.sql(f"DROP TABLE {table}")
+    _append(spark.table(aside).select(*schemas.CLICK_ITEMS), table, buckets)
+    spark.sql(f"DROP TABLE {aside}")

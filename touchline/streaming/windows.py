@@ -29,7 +29,8 @@ def stream_stats(
     Chained aggregations, per user and then over users, so the exact distinct
     count needs no set of users in state.  Sliding windows are put together from
     panes unless ``panes`` is false; see :func:`stats.window_stats` for what is
-    late then.
+    late then.  Spark judges lateness by the watermark of the micro-batch before
+    the last one.
     """
     return stats.window_stats(with_watermark(events), keys, size, slide, panes)
 
