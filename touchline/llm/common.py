@@ -16,6 +16,9 @@ GAP = r"[\x20\x09-\x0D]+"
 
 SMALL_ROWS = 1_000_000  # rows of ids and labels that may be broadcast
 
+BATCH_BYTES = 8 << 20
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
@@ -32,6 +35,17 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand rows to Python in batches of at most ``BATCH_BYTES``, unless the session says otherwise.
+
+    A batch is held as Arrow, as Python objects and as what is made of them at once, in each
+    worker of an executor.
+    """
+    if spark.sparkContext.getConf().get(_ARROW_BYTES) is None:
+        spark.conf.set(_ARROW_BYTES, str(BATCH_BYTES))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -21,7 +21,7 @@ from touchline.llm import (
     toxicity,
     warc,
 )
-from touchline.llm.common import documents, fold, importable, labelled, labels, text_keys, words_of
+from touchline.llm.common import documents, fold, importable, labelled, labels, small_batches, text_keys, words_of
 from touchline.session import work_dir
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -85,7 +85,7 @@ def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity by class-conditional Kneser-Ney models."""
-    docs = documents(spark, sf_dir)
+    docs = documents(small_batches(spark), sf_dir)
     model = toxicity.learn(labelled(docs, labels(spark, sf_dir), "toxic", ~held_out(TOXIC_HELD)))
     return _judged(toxicity.score(docs, model), TOXIC_HELD, TOXIC_FROM)
 

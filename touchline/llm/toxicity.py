@@ -34,7 +34,8 @@ ORDER = 5
 BITS = 12  # bits of a symbol within an n-gram's code
 CONTEXT = 1 << 61  # added to the code of a context, to tell it from n-grams
 CHUNK = 16_000_000  # code points of the texts that are scored together, about
-HELD = 4_000_000  # distinct n-grams that a task holds before it hands them on
+HELD = 1_000_000  # n-grams that a task holds before it hands them on
+HANDED = 100_000  # keys in a batch that it hands on
 DISCOUNT = 0.75
 WORST = 3  # words with the highest ratios that are averaged
 SAMPLE = 4000  # labelled documents per class, about, for the final fit
@@ -69,9 +70,11 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if text is not None:
                     held.append(codes(symbols(text)))
                     size += len(held[-1])
-                if held and (text is None or size > 2_000_000):
+                if held and (text is None or size > HELD):
                     found, many = np.unique(np.concatenate(held), return_counts=True)
-                    yield pd.DataFrame({"code": found.view(np.int64), "label": label, "n": many.astype(np.int64)})
+                    for at in range(0, len(found), HANDED):
+                        own = slice(at, at + HANDED)
+                        yield pd.DataFrame({"code": found[own].view(np.int64), "label": label, "n": many[own].astype(np.int64)})
                     held, size = [], 0
 
 
@@ -116,7 +119,8 @@ def _chunk_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk, found in held.items():
             contexts = np.unique(found >> np.uint64(BITS)) | np.uint64(CONTEXT)
             for key in (found, contexts):
-                yield pd.DataFrame({"chunk": np.int32(chunk), "key": key.view(np.int64)})
+                for at in range(0, len(key), HANDED):
+                    yield pd.DataFrame({"chunk": np.int32(chunk), "key": key[at : at + HANDED].view(np.int64)})
         held.clear()
 
     for batch in batches:
