@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline.llm import neardup, packing, quality_model, secrets, substrings
-from touchline.llm.common import as_table, documents, importable, labels
+from touchline.llm.common import as_table, documents, importable, labels, small_batches
 from touchline.llm.queries import BYTE_VOCABULARY, QUALITY_FROM, quality_network
 
 
@@ -20,17 +20,19 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality classifier rejects."""
-    importable(spark)
+    importable(small_batches(spark))
     return quality_model.keep_good(docs, quality_network(docs, labels(spark, sf_dir)), QUALITY_FROM)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
+    small_batches(spark)
     return neardup.keep_one(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every passage that stands anywhere else too."""
+    small_batches(spark)
     return _sized(substrings.remove_repeats(docs))
 
 
@@ -41,6 +43,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in sequences of one length."""
+    small_batches(spark)
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path(BYTE_VOCABULARY), with_ids=False))
 
 
