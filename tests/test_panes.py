@@ -11,7 +11,7 @@ from touchline import schemas
 from touchline.operators import attribution, clicks, enrich, health, sessions, stats
 from touchline.operators.decode import decode
 from touchline.plans import adapter
-from touchline.sinks import click_table
+from touchline.sinks import archive, click_table
 from touchline.sources import topics, views
 from touchline.streaming import app, jobs, windows
 from touchline.streaming.health import read_progress, recorded
@@ -305,3 +305,17 @@ def test_the_starter_hands_tables_to_the_jobs(spark, folder, monkeypatch):
     app.topic_jobs(lambda topic: None, None, folder, store_clicks=True, archive_table="c.e", attributed_table="c.a", click_table="c.k")
     assert (seen["sinks"].archive_table, seen["attributed"], seen["sinks"].click_table) == ("c.e", "c.a", "c.k")
     assert seen["sinks"].clicks is None
+
+
+@pytest.mark.parametrize("timed", [True, False])
+def test_the_last_arrival_goes_by_the_time_of_the_record(spark, folder, timed):
+    """Two copies in two partitions: partition 0 took the last one."""
+    rows = [('{"event_id":"a","event_time":1}', 0, 5, at(200)), ('{"event_id":"a","event_time":2}', 1, 9, at(100))]
+    spark.createDataFrame(rows, schemas.TIMED_RECORDS).write.parquet(subfolder(folder, "topic"))
+    schema = schemas.TIMED_RECORDS if timed else schemas.TOPIC_RECORDS
+    records = topics.exported_stream(spark, subfolder(folder, "topic"), schema=schema)
+    sinks = jobs.EventSinks(archive=subfolder(folder, "archive"))
+    drain(jobs.event_job(records, sinks, subfolder(folder, "cp"), archive_all=True))
+    (row,) = archive.read_archive(spark, sinks.archive).collect()
+    assert row.event_time == (1 if timed else 2)
+    assert "record_time" not in archive.read_archive(spark, sinks.archive).columns

@@ -52,7 +52,7 @@ def decode(
     without building their values, and no map is made that nobody reads.  Which
     records count as objects does not depend on it.
 
-    ``partition`` and ``offset`` are kept where the source has them.  Each
+    ``partition``, ``offset`` and ``record_time`` are kept where the source has them.  Each
     record is parsed once; only those flagged as malformed are looked at again,
     to tell broken JSON from an object with one unusable field.
     """
@@ -66,6 +66,6 @@ def decode(
         return opens & (p[_CORRUPT].isNull() | readable.isNotNull())
 
     # inline() keeps the filter and the columns on one from_json evaluation.
-    position = [c for c in schemas.POSITION if c in records.columns]
+    position = [c for c in (*schemas.POSITION, schemas.RECORD_TIME) if c in records.columns]
     rows = records.select(*position, F.inline(F.filter(F.array(parsed), is_object)))
     return rows.select(*[_typed(f) for f in schema.fields], *position)

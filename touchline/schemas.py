@@ -81,6 +81,10 @@ TOPIC_RECORDS = struct(
 # Where a record stood in its topic; read but never written.
 POSITION = ["partition", "offset"]
 
+# When the topic took a record, where the source tells; read but never written.
+RECORD_TIME = "record_time"
+TIMED_RECORDS = T.StructType([*TOPIC_RECORDS.fields, T.StructField(RECORD_TIME, TIME)])
+
 # Columns of the sinks, in the order they are declared.
 PROCESSED_EVENTS = [
     *[f.name for f in RAW_EVENTS.fields if f.name != "gtm_preview_code"],

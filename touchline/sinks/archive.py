@@ -31,9 +31,13 @@ ATTRIBUTED_ARCHIVE = _archive_schema(schemas.ATTRIBUTED_ARCHIVE)
 
 
 def last_arrivals(rows: DataFrame) -> DataFrame:
-    """The last arrival per archive key, for input that was not deduplicated."""
-    latest = [F.col(c).desc() for c in schemas.POSITION if c in rows.columns]
-    if not latest:
+    """The last arrival per archive key, for input that was not deduplicated.
+
+    Offsets order records within a partition only, so copies in two partitions go by the
+    time of the record where the source gives it, and by partition number where not.
+    """
+    latest = [F.col(c).desc() for c in (schemas.RECORD_TIME, *schemas.POSITION) if c in rows.columns]
+    if not set(schemas.POSITION) & set(rows.columns):
         raise ValueError("arrival order needs the partition and offset columns")
     return top_rows(rows, schemas.ARCHIVE_KEY, latest).drop(RANK)
 

@@ -1,19 +1,20 @@
 """Topic records from Kafka or from files that hold an exported topic.
 
-All yield ``value`` text and, where known, ``partition`` and ``offset``, ready
-for :func:`touchline.operators.decode.decode`.
+All yield ``value`` text and, where known, ``partition``, ``offset`` and the time at
+which the topic took the record, ready for :func:`touchline.operators.decode.decode`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from touchline import schemas
 
 
 
 def _records(rows: DataFrame) -> DataFrame:
-    return rows.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+    taken = F.col("timestamp").alias(schemas.RECORD_TIME)
+    return rows.select(F.col("value").cast("string").alias("value"), "partition", "offset", taken)
 
 
 def kafka_options(
@@ -52,18 +53,30 @@ def kafka_backfill(spark: SparkSession, servers: str, topic: str, **options) ->
 
 
 def exported_stream(
-    spark: SparkSession, path: str, max_files: int | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    fmt: str = "parquet",
+    schema: T.StructType = schemas.TOPIC_RECORDS,
 ) -> DataFrame:
-    """Files of an exported topic, arriving as a stream."""
-    reader = spark.readStream.schema(schemas.TOPIC_RECORDS).format(fmt)
+    """Files of an exported topic, arriving as a stream.
+
+    Give ``schemas.TIMED_RECORDS`` where the export has the time of each record.
+    """
+    reader = spark.readStream.schema(schema).format(fmt)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
 
 
-def exported(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def exported(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType = schemas.TOPIC_RECORDS,
+) -> DataFrame:
     """Files of an exported topic as a batch."""
-    return spark.read.schema(schemas.TOPIC_RECORDS).format(fmt).load(path)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
