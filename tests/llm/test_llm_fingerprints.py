@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 import xxhash
@@ -89,3 +90,56 @@ def test_texts_on_two_sides_of_the_limit_are_alike(spark, tables, prose):
     # The last quarter of 1,200 code points gives way to a short next text.
     edited = op10_fingerprints(spark, tables([(1, text[:1200]), (2, "a few words")])).where("doc_id = 1").first()
     assert edited["near_edited"] > 0.7
+
+
+def pieces(text):
+    """Runs of up to four letters and digits; every other code point but white space alone."""
+    letter = "0-9A-Za-zÀ-ɏͰ-῿"
+    return re.findall(f"[{letter}]{{1,4}}|[^\x20\x09-\x0d{letter}]", text)
+
+
+def printed(text):
+    return ",".join(f"{h % 2**64:x}@{p}" for h, p in syncmers(pieces(text)))
+
+
+def likeness(a, b):
+    """Share of anchors with a partner of the same hash in the same or a neighbouring cell, from two fingerprints."""
+
+    def cells(print_):
+        return {(h, int(p) // fp.SHIFT) for h, p in (x.split("@") for x in print_.split(",") if x)}
+
+    def met(mine, theirs):
+        return sum(any((h, c + d) in theirs for d in (-1, 0, 1)) for h, c in mine)
+
+    a, b = cells(a), cells(b)
+    return (met(a, b) + met(b, a)) / (len(a) + len(b)) if a or b else 1.0
+
+
+def check_prints(rows, found):
+    for i, (doc_id, text) in enumerate(rows):
+        following = rows[(i + 1) % len(rows)][1]
+        quarter = len(text) // 4
+        r = found[doc_id]
+        own, edited = printed(text), printed(text[: len(text) - quarter] + following[:quarter])
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (own, edited)
+        assert r["near_edited"] == pytest.approx(likeness(own, edited))
+        assert r["near_next"] == pytest.approx(likeness(own, printed(following)))
+
+
+def test_prints_and_likeness_match_brute_force(spark):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in documents(spark, SF).collect())
+    check_prints(rows, {r["doc_id"]: r for r in op10_fingerprints(spark, SF).collect()})
+
+
+def test_cuts_at_every_kind_of_place_match_brute_force(spark, tables, prose):
+    texts = ["", " ", "a", "ab cd", "漢字" * 40, "x" * 400, " lead", "trail   ", "a b c d e f g h", "one two three four five six seven eight"]
+    texts += ["(a)[b]{c}" * 9 + " ü", "μήλο и яблоко " * 5, "😀 " * 30, "no-space-" * 20, prose(700, 3), prose(5, 4) + "\n" * 50, "\n" * 90 + prose(9, 5)]
+    texts += [prose(n, n) for n in range(1, 40)]
+    rows = list(enumerate(texts))
+    check_prints(rows, {r["doc_id"]: r for r in op10_fingerprints(spark, tables(rows)).collect()})
+
+
+def test_copies_of_nearly_equal_length_share_their_anchors(spark, tables, prose):
+    text = prose(400, 9)
+    found = op10_fingerprints(spark, tables([(1, text[:1023]), (2, text[:1025])])).collect()
+    assert min(r["near_next"] for r in found) > 0.98
