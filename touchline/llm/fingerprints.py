@@ -116,7 +116,7 @@ def anchors_after(own: Column, hashes: Column, kept: Column, tail: Column, k: in
 
 def printed(found: Column) -> Column:
     """``hash@place`` of each anchor, comma-joined."""
-    return F.array_join(F.transform(found, lambda a: F.concat(F.lower(F.hex(a["hash"])), F.lit("@"), a["place"].cast("string"))), ",")
+    return F.lower(F.array_join(F.transform(found, lambda a: F.concat(F.hex(a["hash"]), F.lit("@"), a["place"].cast("string"))), ","))
 
 
 def cells(found: Column, shift: int = SHIFT) -> Column:
