@@ -162,6 +162,16 @@ def click_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_items(_items(spark, sf_dir))
 
 
+@query(_ITEMS_SQL + "SELECT * FROM items WHERE click_time % 3 = 2")
+def click_items_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items where a third of the winners have no visitor and a third no click-id name: these are not stored."""
+    part = F.col("click_time") % 3
+    winners = clicks.latest_clicks(adapter.raw_events(spark, sf_dir)).withColumns(
+        {"anonymous_id": F.when(part != 0, F.col("anonymous_id")), "k": F.when(part != 1, F.col("k"))}
+    )
+    return flat_items(clicks.click_items(winners, _now()))
+
+
 @query(STORE_SQL + "SELECT * FROM store")
 def click_store_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One whole item per visitor and click-id name."""
