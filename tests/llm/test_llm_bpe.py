@@ -57,6 +57,32 @@ def test_leaves_on_tasks_and_real_outputs(spark, tables):
         assert (row["ids"], row["decoded"]) == library(WORDS, texts[row["doc_id"]])
 
 
+def test_parts_of_long_texts_as_rows(spark, tables):
+    rng = random.Random(5)
+    texts = {i: "".join(rng.choices([*PARTS, " ", "\n", "e\u0301\u0323", " it's "], k=rng.randint(40, 400))) for i in range(20)}
+    texts[20] = "a" + "\u0301\u0323" * 300 + "b" * 90 + " " * 500 + "end"
+    docs = documents(spark, tables(texts.items()))
+    for row in bpe.encode_decode(docs, WORDS, leaf=40, spread=90).collect():
+        assert (row["ids"], row["decoded"]) == library(WORDS, texts[row["doc_id"]])
+
+
+def test_real_texts_through_the_tree(spark):
+    tokenizer = bpe.load_tokenizer(WORDS)
+    long = [r["text"] for r in documents(spark, "/root/testdata/sf0.01").where("length(text) > 4096").collect()]
+    assert len(long) > 50
+    for text in long:
+        expected = library(WORDS, text)[0]
+        assert bpe.encode_tree(tokenizer, text) == expected
+        assert bpe.encode_tree(tokenizer, text, 200) == expected
+
+
+def test_marks_stay_with_their_letter():
+    rng, tokenizer = random.Random(8), bpe.load_tokenizer(WORDS)
+    for _ in range(200):
+        text = "".join(rng.choices(["a", "e ", "o", "\u1100\u1161\u11a8", "\u0915\u093c"], k=9)) + "".join(rng.choices("\u0301\u0323\u0327", k=rng.randint(0, 120))) + "".join(rng.choices("abc d'", k=60))
+        assert bpe.encode_tree(tokenizer, text, 24) == library(WORDS, text)[0]
+
+
 def test_empty_table(spark, tables):
     folder = tables([])
     assert op1_bpe(spark, folder).count() == 0

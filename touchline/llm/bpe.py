@@ -1,18 +1,20 @@
 """BPE encoding and decoding by tree concatenation.
 
-White space cuts a text exactly, so a text whose stretches are short is encoded in one go.
-A stretch without white space that is longer than ``LEAF`` cannot be cut safely: its
-halves are encoded apart, down to leaves, and each join is then mended by re-encoding a
-growing window around it until the window's tokens agree with both sides.  Two token
-sequences that share a token on the same span can be spliced there, because a BPE
-encoding is right exactly if every two neighbours are.
-
-Leaves of long stretches are spread over Spark tasks as rows of their own; the joins of
-one document then run in one task, on token ids and offsets only.
-
-Texts of printable Latin-1 characters, where the two libraries' character classes are the
-same, are merged by ``tiktoken`` on the ranks of the tokenizer's own file, which takes a
-fraction of the time; all others, and all windows, go through ``tokenizers``.
+A text longer than ``LEAF`` is cut anywhere, words and white space regardless: its parts
+are encoded apart, and each join is then mended by re-encoding a growing window around it
+until the window's tokens agree with both sides.  Two token sequences that share a token
+on the same span can be spliced there, because a BPE encoding is right exactly if every
+two neighbours are.  Only combining marks are never parted from what they stand on, since
+they are put in order with it before anything is encoded.
+
+Parts of a text up to ``SPREAD`` are encoded and joined by the task that has it, so most
+texts are not shuffled; those of longer texts are spread over Spark tasks as rows of
+their own, and the joins of one document then run in one task, on token ids and offsets.
+
+Leaves that are whole texts of printable Latin-1 characters, where the two libraries'
+character classes are the same, are merged by ``tiktoken`` on the ranks of the tokenizer's
+own file, which takes a fraction of the time; all other texts, parts and windows go
+through ``tokenizers``.
 
 Defined results: null text is empty text; empty text has no tokens and decodes to
 empty text; repeated rows and null ids give a row each; other columns are ignored.
@@ -24,16 +26,19 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.common import GAP, as_table
+from touchline.llm.common import as_table
 
-LEAF = 4096  # code points of a stretch that are encoded in one go
+LEAF = 4096  # code points that are encoded in one go
+SPREAD = 16 * LEAF  # code points of a text whose parts are not spread over tasks
 GUARD = 32  # code points next to a window's edge whose tokens are not trusted
 
 # The end-of-word mark of the vocabulary, and both vocabularies' split patterns.
@@ -90,6 +95,10 @@ def join(tokenizer, text: str, left: Pieces, right: Pieces, lo: int, mid: int, h
     reach = 2 * GUARD
     while True:
         a, b = max(lo, mid - reach), min(hi, mid + reach)
+        while a > lo and unicodedata.combining(text[a]):
+            a -= 1
+        while b < hi and unicodedata.combining(text[b]):
+            b += 1
         window = Pieces.of(tokenizer, text[a:b], a)
         if a == lo and b == hi:
             return window
@@ -121,10 +130,18 @@ def merge(tokenizer, text: str, leaves: list[Pieces], cuts: list[int]) -> Pieces
     return leaves[0]
 
 
+def part_pattern(leaf: int) -> str:
+    """Matches the next part of a text, for Java's and Python's expressions alike."""
+    return rf"(?s).{{1,{leaf}}}\p{{M}}*"
+
+
 def encode_tree(tokenizer, text: str, leaf: int = LEAF) -> list[int]:
-    """Token ids of one text, the halves of which are encoded apart."""
-    cuts = [*range(0, max(1, len(text)), leaf), len(text)]
-    leaves = [Pieces.of(tokenizer, text[a:b], a) for a, b in zip(cuts, cuts[1:])]
+    """Token ids of one text, the parts of which are encoded apart."""
+    import regex
+
+    parts = regex.findall(part_pattern(leaf), text) or [""]
+    cuts = [0, *accumulate(map(len, parts))]
+    leaves = [Pieces.of(tokenizer, part, at) for part, at in zip(parts, cuts)]
     return merge(tokenizer, text, leaves, cuts).ids.tolist()
 
 
@@ -201,26 +218,28 @@ def _names(full: bool) -> list[str]:
     return ["n_tokens", "ids", "decoded"] if full else ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 
-def _short_texts(path: str, full: bool):
-    """Texts that white space cuts finely enough."""
+def _in_task(path: str, full: bool, leaf: int):
+    """Texts whose parts stay in the task that has them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = codec(path)
         for batch in batches:
-            rows = [_row(known, known.encode(text), full) for text in batch["text"]]
-            out = pd.DataFrame(rows, columns=_names(full), index=batch.index)
+            ids = [known.encode(t) if len(t) <= leaf else encode_tree(known.tokenizer, t, leaf) for t in batch["text"]]
+            out = pd.DataFrame([_row(known, x, full) for x in ids], columns=_names(full), index=batch.index)
             yield pd.concat([batch[["doc_id"]], out], axis=1)
 
     return run
 
 
 def _leaves(path: str):
+    """The tokens of a part, with their places in it."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = load_tokenizer(path)
         for batch in batches:
-            parts = [Pieces.of(tokenizer, t, int(a)) for t, a in zip(batch["part"], batch["at"])]
-            yield batch[["row", "doc_id", "at", "part"]].assign(
-                ids=[p.ids for p in parts], starts=[p.starts for p in parts], ends=[p.ends for p in parts]
+            found = [Pieces.of(tokenizer, part) for part in batch["part"]]
+            yield batch.assign(
+                ids=[p.ids for p in found], starts=[p.starts for p in found], ends=[p.ends for p in found]
             )
 
     return run
@@ -229,17 +248,19 @@ def _leaves(path: str):
 def _joined(path: str, full: bool):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         known = codec(path)
-        group = group.sort_values("at")
+        group = group.sort_values("nth")
         text = "".join(group["part"])
-        leaves = [Pieces(*map(np.asarray, p)) for p in zip(group["ids"], group["starts"], group["ends"])]
-        ids = merge(known.tokenizer, text, leaves, [*group["at"], len(text)]).ids.tolist()
+        cuts = [0, *accumulate(map(len, group["part"]))]
+        spans = zip(group["ids"], group["starts"], group["ends"], cuts)
+        leaves = [Pieces(np.asarray(i, dtype=np.int64), np.asarray(s, dtype=np.int64) + at, np.asarray(e, dtype=np.int64) + at) for i, s, e, at in spans]
+        ids = merge(known.tokenizer, text, leaves, cuts).ids.tolist()
         row = (group["doc_id"].iloc[0], *_row(known, ids, full))
         return pd.DataFrame([row], columns=["doc_id", *_names(full)]).astype({"doc_id": "Int64"})
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, full: bool = True, leaf: int = LEAF) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, full: bool = True, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
     """Encode ``text`` of every row and decode it again.
 
     Gives ``doc_id, n_tokens`` and the ids and the decoded text, or with
@@ -248,18 +269,14 @@ def encode_decode(docs: DataFrame, path: str, full: bool = True, leaf: int = LEA
     rest = "ids array<bigint>, decoded string" if full else "ids_sha256 string, decoded_sha256 string"
     schema = f"doc_id bigint, n_tokens bigint, {rest}"
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    longest = F.array_max(F.transform(F.split("text", GAP), F.length))
-    unsplit = (F.length("text") > leaf) & (F.when(F.length("text") > leaf, longest) > leaf)
-    short = source.where(~unsplit).mapInPandas(_short_texts(path, full), schema)
-    long = as_table(source.where(unsplit).withColumn("row", F.monotonically_increasing_id()), "bpe-long")
-    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{leaf}}}"), F.lit(0))
+    near = source.where(F.length("text") <= spread).mapInPandas(_in_task(path, full, leaf), schema)
+    far = as_table(source.where(F.length("text") > spread).withColumn("row", F.monotonically_increasing_id()), "bpe-long")
     parts = (
-        long.select("row", "doc_id", F.posexplode(pieces).alias("nth", "part"))
-        .select("row", "doc_id", (F.col("nth") * F.lit(leaf).cast("bigint")).alias("at"), "part")
-        .repartition(F.col("row"), F.col("at"))
+        far.select("row", "doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(part_pattern(leaf)), F.lit(0))).alias("nth", "part"))
+        .repartition(F.col("row"), F.col("nth"))
         .mapInPandas(
             _leaves(path),
-            "row bigint, doc_id bigint, at bigint, part string, ids array<bigint>, starts array<bigint>, ends array<bigint>",
+            "row bigint, doc_id bigint, nth int, part string, ids array<int>, starts array<int>, ends array<int>",
         )
     )
-    return short.unionByName(parts.groupBy("row").applyInPandas(_joined(path, full), schema))
+    return near.unionByName(parts.groupBy("row").applyInPandas(_joined(path, full), schema))
