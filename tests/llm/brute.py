@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
+from touchline.llm import secrets
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?)([A-Za-z0-9+/_.=-]+)")
@@ -60,6 +63,35 @@ def base_spans(text):
     return sorted(found)
 
 
+def random_looking(hit):
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else None for c in hit]
+    changes = sum(None not in pair and pair[0] != pair[1] for pair in zip(kinds, kinds[1:]))
+    bits = -sum(n / len(hit) * math.log2(n / len(hit)) for n in Counter(hit).values())
+    return 4 * changes >= len(hit) and 12 * hit.count("/") <= len(hit) and bits >= 3.5
+
+
+def all_spans(text, scope=400):
+    """Strong spans and the weak ones that another part completes, every pair tried."""
+    text = text or ""
+    strong = base_spans(text) + [(m.start(), 6, m.end()) for m in re.finditer(secrets.LOGIN, text)]
+    weak = []
+    for m in re.finditer(rf"(?P<e>{secrets.ENDPOINT})[^\x00-\x20\"'<>]*|(?P<a>{secrets.ACCOUNT})|(?P<o>{secrets.OPAQUE})", text):
+        if m["e"]:
+            weak.append((m.start(), 5, m.end("e")))
+        elif m["a"]:
+            weak.append((m.start(), 3, m.end()))
+        elif random_looking(m["o"]):
+            weak.append((m.start(), 4, m.end()))
+
+    def clear(x):
+        return not any(x[0] < s[2] and s[0] < x[2] and (s[1], x[1]) != (6, 5) for s in strong)
+
+    weak = [x for x in weak if clear(x)]
+    needs = {3: {0, 2, 4, 6}, 4: {1, 3, 5}, 5: {0, 2, 4, 6}}
+    linked = [x for x in weak if any(y[1] in needs[x[1]] and abs(x[0] - y[0]) <= scope for y in strong + weak)]
+    return sorted(strong + linked)
+
+
 def measures(text):
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text, w = text or "", words(text)
