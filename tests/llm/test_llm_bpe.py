@@ -74,6 +74,18 @@ def test_real_texts_through_the_tree(spark):
         expected = library(WORDS, text)[0]
         assert bpe.encode_tree(tokenizer, text) == expected
         assert bpe.encode_tree(tokenizer, text, 200) == expected
+        assert bpe.encode_tree(tokenizer, text, pieces=bpe.codec(WORDS).pieces) == expected
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_pieces_of_a_part_are_the_library_tokens_and_places(path):
+    rng, codec = random.Random(2), bpe.codec(path)
+    for i in range(300):
+        pool = PARTS + [" ", "\n", "it's "] if i % 2 else [*map(chr, range(32, 127)), "\n", " "]
+        part = "".join(rng.choices(pool, k=rng.randint(0, 80)))
+        quick, plain = codec.pieces(part, 7), bpe.Pieces.of(codec.tokenizer, part, 7)
+        for k in ("ids", "starts", "ends"):
+            assert getattr(quick, k).tolist() == getattr(plain, k).tolist()
 
 
 def test_marks_stay_with_their_letter():

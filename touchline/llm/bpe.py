@@ -11,10 +11,10 @@ Parts of a text up to ``SPREAD`` are encoded and joined by the task that has it,
 texts are not shuffled; those of longer texts are spread over Spark tasks as rows of
 their own, and the joins of one document then run in one task, on token ids and offsets.
 
-Leaves that are whole texts of printable Latin-1 characters, where the two libraries'
-character classes are the same, are merged by ``tiktoken`` on the ranks of the tokenizer's
-own file, which takes a fraction of the time; all other texts, parts and windows go
-through ``tokenizers``.
+Short texts of printable Latin-1 characters, where the two libraries' character classes are
+the same, and parts of ASCII, where bytes are places too, are merged by ``tiktoken`` on the
+ranks of the tokenizer's own file, which takes a fraction of the time; all other texts and
+parts, and all windows, go through ``tokenizers``.
 
 Defined results: null text is empty text; empty text has no tokens and decodes to
 empty text; repeated rows and null ids give a row each; other columns are ignored.
@@ -135,13 +135,14 @@ def part_pattern(leaf: int) -> str:
     return rf"(?s).{{1,{leaf}}}\p{{M}}*"
 
 
-def encode_tree(tokenizer, text: str, leaf: int = LEAF) -> list[int]:
-    """Token ids of one text, the parts of which are encoded apart."""
+def encode_tree(tokenizer, text: str, leaf: int = LEAF, pieces=None) -> list[int]:
+    """Token ids of one text, the parts of which are encoded apart, by ``pieces(part, at)`` if given."""
     import regex
 
     parts = regex.findall(part_pattern(leaf), text) or [""]
     cuts = [0, *accumulate(map(len, parts))]
-    leaves = [Pieces.of(tokenizer, part, at) for part, at in zip(parts, cuts)]
+    of = pieces or (lambda part, at: Pieces.of(tokenizer, part, at))
+    leaves = [of(part, at) for part, at in zip(parts, cuts)]
     return merge(tokenizer, text, leaves, cuts).ids.tolist()
 
 
@@ -176,6 +177,10 @@ class Codec:
         pattern = r"[^\x00]+\x00" if self.ends_words else BYTE_SPLIT
         self.ranked = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.split = regex.compile(WORD_SPLIT).findall
+        self.find = regex.compile(WORD_SPLIT).finditer
+        self.lengths = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, rank in ranks.items():
+            self.lengths[rank] = len(token.rstrip(b"\0")) if self.ends_words else len(token)
         self.special = special
         self.decimals = [str(i) for i in range(self.tokenizer.get_vocab_size())]
         self.tokens = [self.tokenizer.id_to_token(i) for i in range(len(self.decimals))]
@@ -188,6 +193,20 @@ class Codec:
             text = "\0".join(words) + "\0" if words else ""
         return self.ranked.encode_ordinary(text)
 
+    def pieces(self, part: str, at: int = 0) -> Pieces:
+        """Token ids of a part with their places."""
+        if not (self.ends_words and part.isascii() and _PLAIN.match(part)) or any(s in part for s in self.special):
+            return Pieces.of(self.tokenizer, part, at)
+        part = part.lower()
+        spans = np.array([m.span() for m in self.find(part)], dtype=np.int64).reshape(-1, 2)
+        words = [part[a:b] for a, b in spans.tolist()]
+        ids = np.array(self.ranked.encode_ordinary("\0".join(words) + "\0") if words else [], dtype=np.int64)
+        # Where each character of the words stands in the part.
+        sizes = spans[:, 1] - spans[:, 0]
+        places = np.arange(sizes.sum()) + np.repeat(spans[:, 0] - np.cumsum(sizes) + sizes, sizes) + at
+        ends = np.cumsum(self.lengths[ids])
+        return Pieces(ids, places[ends - self.lengths[ids]], places[ends - 1] + 1)
+
     def shown(self, ids: list[int]) -> str:
         """Ids as decimals joined by one space."""
         return " ".join([self.decimals[i] for i in ids])
@@ -224,7 +243,7 @@ def _in_task(path: str, full: bool, leaf: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = codec(path)
         for batch in batches:
-            ids = [known.encode(t) if len(t) <= leaf else encode_tree(known.tokenizer, t, leaf) for t in batch["text"]]
+            ids = [known.encode(t) if len(t) <= leaf else encode_tree(known.tokenizer, t, leaf, known.pieces) for t in batch["text"]]
             out = pd.DataFrame([_row(known, x, full) for x in ids], columns=_names(full), index=batch.index)
             yield pd.concat([batch[["doc_id"]], out], axis=1)
 
@@ -235,9 +254,9 @@ def _leaves(path: str):
     """The tokens of a part, with their places in it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = load_tokenizer(path)
+        known = codec(path)
         for batch in batches:
-            found = [Pieces.of(tokenizer, part) for part in batch["part"]]
+            found = [known.pieces(part) for part in batch["part"]]
             yield batch.assign(
                 ids=[p.ids for p in found], starts=[p.starts for p in found], ends=[p.ends for p in found]
             )
