@@ -88,6 +88,17 @@ def test_pieces_of_a_part_are_the_library_tokens_and_places(path):
             assert getattr(quick, k).tolist() == getattr(plain, k).tolist()
 
 
+def test_parts_of_latin_letters_go_by_the_ranks(monkeypatch):
+    rng, codec = random.Random(9), bpe.codec(WORDS)
+    parts = ["".join(rng.choices("abcdeÉÀéüßµÆñÿ«»÷½² \t\n'.1ºs", k=rng.randint(0, 80))) for _ in range(200)]
+    expected = [bpe.Pieces.of(codec.tokenizer, part, 5) for part in parts]
+    monkeypatch.setattr(bpe.Pieces, "of", None)  # the slower way is not taken
+    for part, other in zip(parts, expected):
+        found = codec.pieces(part, 5)
+        for field in ("ids", "starts", "ends"):
+            assert getattr(found, field).tolist() == getattr(other, field).tolist()
+
+
 def test_marks_stay_with_their_letter():
     rng, tokenizer = random.Random(8), bpe.load_tokenizer(WORDS)
     for _ in range(200):

@@ -11,8 +11,8 @@ Parts of a text up to ``SPREAD`` are encoded and joined by the task that has it,
 texts are not shuffled; those of longer texts are spread over Spark tasks as rows of
 their own, and the joins of one document then run in one task, on token ids and offsets.
 
-Short texts of printable Latin-1 characters, where the two libraries' character classes are
-the same, and parts of ASCII, where bytes are places too, are merged by ``tiktoken`` on the
+Short texts and parts of printable Latin-1 characters, where the two libraries' character
+classes are the same and a character has one byte or two, are merged by ``tiktoken`` on the
 ranks of the tokenizer's own file, which takes a fraction of the time; all other texts and
 parts, and all windows, go through ``tokenizers``.
 
@@ -177,7 +177,6 @@ class Codec:
         pattern = r"[^\x00]+\x00" if self.ends_words else BYTE_SPLIT
         self.ranked = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.split = regex.compile(WORD_SPLIT).findall
-        self.find = regex.compile(WORD_SPLIT).finditer
         self.lengths = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token.rstrip(b"\0")) if self.ends_words else len(token)
@@ -195,15 +194,17 @@ class Codec:
 
     def pieces(self, part: str, at: int = 0) -> Pieces:
         """Token ids of a part with their places."""
-        if not (self.ends_words and part.isascii() and _PLAIN.match(part)) or any(s in part for s in self.special):
+        if not (self.ends_words and _PLAIN.match(part)) or any(s in part for s in self.special):
             return Pieces.of(self.tokenizer, part, at)
         part = part.lower()
-        spans = np.array([m.span() for m in self.find(part)], dtype=np.int64).reshape(-1, 2)
-        words = [part[a:b] for a, b in spans.tolist()]
-        ids = np.array(self.ranked.encode_ordinary("\0".join(words) + "\0") if words else [], dtype=np.int64)
-        # Where each character of the words stands in the part.
-        sizes = spans[:, 1] - spans[:, 0]
-        places = np.arange(sizes.sum()) + np.repeat(spans[:, 0] - np.cumsum(sizes) + sizes, sizes) + at
+        words = self.split(part)
+        if not words:
+            return Pieces(*(np.empty(0, dtype=np.int64) for _ in range(3)))
+        ids = np.array(self.ranked.encode_ordinary("\0".join(words) + "\0"), dtype=np.int64)
+        # Words leave out white space only, so their bytes stand where the other characters do.
+        points = np.frombuffer(part.encode("latin-1"), dtype=np.uint8)
+        places = np.flatnonzero((points != 32) & (points > 13))
+        places = np.repeat(places, 1 + (points[places] > 127)) + at
         ends = np.cumsum(self.lengths[ids])
         return Pieces(ids, places[ends - self.lengths[ids]], places[ends - 1] + 1)
 
