@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from touchline.llm import neardup, substrings
-from touchline.llm.common import documents
+from touchline.llm.common import documents, unpacked
 from touchline.llm.queries import ORACLES, op6_neardup, op9_substrings
 from oracle import assert_matches
 
@@ -114,3 +114,15 @@ def test_dedup_of_empty_tables(spark, tables):
     folder = tables([])
     assert op6_neardup(spark, folder).count() == 0
     assert op9_substrings(spark, folder).count() == 0
+
+
+def test_texts_are_shuffled_packed(spark, tables, prose, monkeypatch):
+    written = {}
+    real = substrings.as_table
+    monkeypatch.setattr(substrings, "as_table", lambda frame, label: written.setdefault(label, frame) and real(frame, label))
+    shared = prose(60, 1)
+    texts = [(1, shared + " " + prose(40, 2)), (2, prose(50, 3) + " " + shared), (3, shared + " é 漢字"), (4, None)]
+    substrings.find_repeats(documents(spark, tables(texts)))
+    assert "text" not in written["substrings-texts"].columns and "packed" in written["substrings-texts"].columns
+    held = {unpacked(bytes(r["packed"])) for r in written["substrings-texts"].collect()}
+    assert held == {t for _, t in texts if t}

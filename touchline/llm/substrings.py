@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.common import as_table, code_points, mix, span_hashes, text_keys, window_hashes, word_spans
+from touchline.llm.common import as_table, code_points, packed, span_hashes, text_keys, unpacked, window_hashes, word_spans
 
 WINDOW = 35
 ANCHOR = 8
@@ -75,8 +75,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (anchor, window, text, place, weight) of the windows of live anchors."""
     for batch in batches:
         parts = []
-        for tid, text, copies, live in zip(batch["tid"], batch["text"], batch["copies"], batch["live"]):
-            found, anchors = windows(text)
+        for tid, data, copies, live in zip(batch["tid"], batch["packed"], batch["copies"], batch["live"]):
+            found, anchors = windows(unpacked(data))
             used = np.flatnonzero(np.isin(anchors, np.asarray(live, dtype=np.int64).view(np.uint64)))
             _, first, many = np.unique(found[used], return_index=True, return_counts=True)
             at = used[first]
@@ -90,7 +90,8 @@ def _cleaned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Remove what repeated windows cover: live windows but those found to be unique."""
     for batch in batches:
         rows = []
-        for text, live, unique in zip(batch["text"], batch["live"], batch["unique"]):
+        for data, live, unique in zip(batch["packed"], batch["live"], batch["unique"]):
+            text = unpacked(data)
             found, anchors = windows(text)
             repeated = np.isin(anchors, np.asarray(live, dtype=np.int64).view(np.uint64))
             if unique is not None:
@@ -122,27 +123,30 @@ def find_repeats(docs: DataFrame) -> DataFrame:
         ).withColumn("tid", F.monotonically_increasing_id()),
         "substrings-anchors",
     )
-    each = rows.select("tid", "h1", F.explode("once").alias("anchor"))
+    each = rows.select("h1", F.explode("once").alias("anchor"))
     own = rows.select(F.explode("often").alias("anchor")).groupBy("anchor").agg(F.lit(True).alias("own"))
     # An anchor of one text (copies have one h1) is dead, unless a text repeats it itself.
-    single = each.groupBy("anchor").agg(F.min("tid").alias("tid"), F.min("h1").alias("low"), F.max("h1").alias("high")).where("low = high")
-    dead = single.join(own, "anchor", "left_anti").groupBy("tid").agg(F.collect_list("anchor").alias("dead"))
-    # The least number of a text's rows stands for all its copies.
-    texts = rows.groupBy("h1", "h2").agg(F.min("tid").alias("tid"), F.count(F.lit(1)).alias("copies"))
-    known = rows.join(texts, ["h1", "h2", "tid"]).join(dead, "tid", "left")
+    single = each.groupBy("anchor").agg(F.min("h1").alias("h1"), F.max("h1").alias("high")).where("h1 = high")
+    dead = single.join(own, "anchor", "left_anti").groupBy("h1").agg(F.collect_list("anchor").alias("dead"))
+    # The least number of a text's rows stands for all its copies, which have the same anchors.
+    first = [F.first(c).alias(c) for c in ("once", "often")]
+    texts = rows.groupBy("h1", "h2").agg(F.min("tid").alias("tid"), F.count(F.lit(1)).alias("copies"), *first)
+    known = texts.join(dead, "h1", "left")
     every = F.concat("once", "often")
     live = F.when((F.col("copies") > 1) | F.col("dead").isNull(), every).otherwise(F.array_except(every, F.col("dead")))
     wanted = known.select("h1", "h2", "tid", "copies", live.alias("live")).where(F.size("live") > 0)
-    held = as_table(source.dropDuplicates(["h1", "h2"]).join(wanted, ["h1", "h2"]), "substrings-texts")
+    # Texts cross shuffles packed, as they are most of what is shuffled.
+    distinct = source.select("h1", "h2", packed(F.col("text")).alias("packed")).dropDuplicates(["h1", "h2"])
+    held = as_table(distinct.join(wanted, ["h1", "h2"]), "substrings-texts")
 
-    counted = held.select("tid", "text", "copies", "live").mapInPandas(
+    counted = held.select("tid", "packed", "copies", "live").mapInPandas(
         _counted, "anchor bigint, window bigint, tid bigint, place bigint, weight bigint"
     )
     lone = counted.groupBy("anchor", "window").agg(
         F.sum("weight").alias("weight"), F.min("tid").alias("tid"), F.min("place").alias("place")
     )
     unique = lone.where("weight = 1").groupBy("tid").agg(F.collect_list("place").alias("unique"))
-    ready = held.join(unique, "tid", "left").select("h1", "h2", "text", "live", "unique")
+    ready = held.join(unique, "tid", "left").select("h1", "h2", "packed", "live", "unique")
     cleaned = ready.mapInPandas(
         _cleaned, "h1 bigint, h2 bigint, n_removed bigint, starts array<bigint>, ends array<bigint>, cleaned string"
     )
