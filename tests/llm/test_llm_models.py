@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.llm import language, quality_model, toxicity
-from touchline.llm.common import documents, fit_logistic
+from touchline.llm.common import documents, fit_logistic, packed, unpacked
 from touchline.llm.queries import op2_language, op7_toxicity, op8_quality
 
 SF = "/root/testdata/sf0.01"
@@ -133,3 +133,18 @@ def test_toxicity_keeps_every_ngram_and_context(spark, monkeypatch):
     assert found.keys() == {i for i, _ in texts}
     for i, text in texts:
         assert found[i] == pytest.approx(toxicity.features(text, keys, ratios))
+
+
+def test_texts_and_contexts_are_not_shuffled_as_they_are(spark):
+    docs = spark.createDataFrame([(1, "ab  CD"), (2, None), (3, "İΣ x")], "id long, text string")
+    forms = docs.select("id", packed(F.coalesce("text", F.lit("")), toxicity.plain).alias("p")).collect()
+    assert {r["id"]: unpacked(bytes(r["p"])) for r in forms} == {i: toxicity.plain(t) for i, t in [(1, "ab  CD"), (2, None), (3, "İΣ x")]}
+    code = toxicity.codes(toxicity.symbols("abcdef")).view(np.int64).tolist()
+    context = (code[0] >> toxicity.BITS) | toxicity.CONTEXT
+    ratios = spark.createDataFrame([(code[0], 0.5), (context, -1.0)], "key long, ratio double")
+    beside = (code[0] >> toxicity.BITS << toxicity.BITS) | 7  # unseen, of the same context
+    keys = spark.createDataFrame([(0, code[0]), (1, code[0]), (1, beside), (1, code[-1])], "chunk int, key long")
+    looked = toxicity.looked_up(keys, ratios)
+    plan = looked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Window [") == 2
+    assert sorted(map(tuple, looked.collect())) == sorted([(0, code[0], 0.5), (1, code[0], 0.5), (1, beside, -1.0)])

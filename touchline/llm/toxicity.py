@@ -12,7 +12,8 @@ documents outside the counts turns these ratios into a score.
 Counts cover every labelled row given, and the model keeps the ratio of every n-gram and
 context as a table, which grows with the corpus.  To be scored, documents are dealt to
 chunks of neighbouring ids of about ``CHUNK`` code points; the distinct n-grams of a chunk
-are joined to their ratios once, and each chunk's ratios meet its texts.
+meet their ratios, or those of their contexts, once, and each chunk's ratios meet its texts,
+which are dealt as compressed bytes.
 
 Defined results: null or empty text has ratios of 0 and scores as such; without tuning
 labels of both classes every score is about 0; label rows of unknown documents and null labels are ignored;
@@ -26,9 +27,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from touchline.llm.common import as_table, code_points, fit_logistic
+from touchline.llm.common import as_table, code_points, fit_logistic, packed, unpacked
 
 ORDER = 5
 BITS = 12  # bits of a symbol within an n-gram's code
@@ -43,9 +44,14 @@ FEATURES = 4
 TUNING_FOLD = 8  # one in so many labelled documents is kept out of the counts for the fit
 
 
+def plain(text: str | None) -> str:
+    """What is read of a text: lower case, runs of white space as one blank; plain text stays as it is."""
+    return " ".join((text or "").lower().split())
+
+
 def symbols(text: str | None) -> np.ndarray:
-    """Lower-case code points as numbers of ``BITS`` bits, runs of white space as one."""
-    points = code_points(" " * (ORDER - 1) + " ".join((text or "").lower().split()) + " ").astype(np.uint64)
+    """The code points of a plain text as numbers of ``BITS`` bits."""
+    points = code_points(" " * (ORDER - 1) + plain(text) + " ").astype(np.uint64)
     return (points ^ (points >> np.uint64(BITS))) & np.uint64((1 << BITS) - 1)
 
 
@@ -112,15 +118,13 @@ def features(text: str | None, keys: np.ndarray, ratios: np.ndarray) -> tuple[fl
 
 
 def _chunk_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct n-grams and contexts of a task's texts, by chunk."""
+    """Distinct n-grams of a task's texts, by chunk."""
     held: dict[int, np.ndarray] = {}
 
     def emptied() -> Iterator[pd.DataFrame]:
         for chunk, found in held.items():
-            contexts = np.unique(found >> np.uint64(BITS)) | np.uint64(CONTEXT)
-            for key in (found, contexts):
-                for at in range(0, len(key), HANDED):
-                    yield pd.DataFrame({"chunk": np.int32(chunk), "key": key[at : at + HANDED].view(np.int64)})
+            for at in range(0, len(found), HANDED):
+                yield pd.DataFrame({"chunk": np.int32(chunk), "key": found[at : at + HANDED].view(np.int64)})
         held.clear()
 
     for batch in batches:
@@ -153,12 +157,27 @@ def _chunked(docs: DataFrame, place: Column) -> DataFrame:
     return docs.withColumn("chunk", chunk_of("place")).drop("place")
 
 
+def looked_up(keys: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``chunk, key, ratio`` of the n-grams ``chunk, key`` that have a ratio, their own or that of their context."""
+    given = ratios.select(F.lit(None).cast("int").alias("chunk"), "key", "ratio")
+    asked = keys.select("chunk", "key", F.lit(None).cast("double").alias("ratio"))
+    is_context = F.col("key") >= CONTEXT
+    context = F.when(is_context, F.col("key").bitwiseXOR(F.lit(CONTEXT))).otherwise(F.shiftright("key", BITS))
+    # Rows of a context are together, so are those of an n-gram: both windows need no shuffle but this one.
+    together = given.unionAll(asked).repartition(context).withColumn("context", context)
+    by_context, by_gram = Window.partitionBy("context"), Window.partitionBy("context", "key")
+    other = F.max(F.when(is_context, F.col("ratio"))).over(by_context)
+    found = together.withColumn("other", other).withColumn("own", F.max("ratio").over(by_gram)).where("chunk IS NOT NULL")
+    return found.select("chunk", "key", F.coalesce("own", "other").alias("ratio")).where("ratio IS NOT NULL")
+
+
 def measure(docs: DataFrame, ratios: DataFrame, place: Column) -> DataFrame:
     """``id`` and features ``f0`` and on of every row (``id, text``); rows near in ``place`` share their look-ups."""
     chunked = _chunked(docs.select("id", F.coalesce("text", F.lit("")).alias("text")), place)
     keys = chunked.select("chunk", "text").mapInPandas(_chunk_keys, "chunk int, key bigint")
-    empty = [F.lit(0).cast("bigint").alias("id"), F.lit(False).alias("named"), F.lit("").alias("text")]
-    looked = keys.join(ratios, "key").select("chunk", F.lit(0).alias("part"), "key", "ratio", *empty)
+    blank = F.lit(b"")
+    empty = [F.lit(0).cast("bigint").alias("id"), F.lit(False).alias("named"), blank.alias("packed")]
+    looked = looked_up(keys, ratios).select("chunk", F.lit(0).alias("part"), "key", "ratio", *empty)
     texts = chunked.select(
         "chunk",
         F.lit(1).alias("part"),
@@ -166,7 +185,7 @@ def measure(docs: DataFrame, ratios: DataFrame, place: Column) -> DataFrame:
         F.lit(0.0).alias("ratio"),
         F.coalesce("id", F.lit(0)).cast("bigint").alias("id"),
         F.col("id").isNotNull().alias("named"),
-        "text",
+        packed(F.col("text"), plain).alias("packed"),
     )
     names = [f"f{i}" for i in range(FEATURES)]
 
@@ -187,7 +206,7 @@ def measure(docs: DataFrame, ratios: DataFrame, place: Column) -> DataFrame:
                     ratio = np.concatenate([np.empty(0), *(r for _, r in parts)])
                     key, first = np.unique(key, return_index=True)
                     table, parts = (key, ratio[first]), []
-                found = pd.DataFrame([features(t, *table) for t in own["text"]], columns=names)
+                found = pd.DataFrame([features(unpacked(t), *table) for t in own["packed"]], columns=names)
                 yield found.assign(id=own["id"].to_numpy(), named=own["named"].to_numpy())
 
     dealt = looked.unionAll(texts).repartition("chunk").sortWithinPartitions("chunk", "part")
