@@ -1,6 +1,7 @@
 """Streaming: winners over several batches, expiry, replay, restart."""
 
 import glob
+import json
 import random
 from datetime import datetime, timedelta, timezone
 
@@ -11,6 +12,7 @@ from streams import add_file, drain, event, subfolder
 from touchline import schemas
 from touchline.operators import attribution, dedup
 from touchline.operators.decode import decode
+from touchline.plans import stream_queries
 from touchline.sinks import archive, changelog, click_store
 from touchline.sources import topics
 from touchline.streaming import app, jobs, windows
@@ -409,3 +411,22 @@ def test_small_batches_leave_few_files(spark, folder):
     records = topics.exported_stream(spark, source)
     drain(jobs.event_job(records, jobs.EventSinks(archive=out), subfolder(folder, "cp")))
     assert len(glob.glob(f"{out}/**/*.parquet", recursive=True)) == 1
+
+
+def test_the_sinks_query_moves_no_whole_values(spark):
+    rows = stream_queries.event_stream_sinks(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "json_tuple" in plan
+
+
+def test_winners_of_clicks_carry_no_maps_of_ids(spark, folder, monkeypatch):
+    seen = []
+    real = BestRows.winners
+    monkeypatch.setattr(BestRows, "winners", lambda self, batch, *rest: seen.append(batch.columns) or real(self, batch, *rest))
+    sinks = jobs.EventSinks(clicks=f"{folder}/clicks")
+    event = {"event_id": "e", "anonymous_id": "a", "event_time": 1, "clid_params": {"gclid": "g", "gclid_timestamp": "5"}}
+    spark.createDataFrame([(json.dumps(event), 0, 0)], schemas.TOPIC_RECORDS).write.parquet(f"{folder}/topic")
+    records = topics.exported_stream(spark, f"{folder}/topic")
+    jobs.event_job(records, sinks, f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    assert "click_time" in seen[0] and "clid_params" not in seen[0]
+    assert [r["click_id"] for r in spark.read.parquet(f"{folder}/clicks").collect()] == ["g"]

@@ -199,6 +199,7 @@ def event_job(
         if has_clicks and batch_id >= sinks.clicks_from:
             entries = clicks.explode_clicks(batch.select(*CLICK_FIELDS))
             entries = entries if latest else clicks.with_click_time_text(entries)
+            entries = entries.drop("clid_params")  # all that is needed of it is in columns by now
             _write_improved(best_clicks, entries, batch_id, now, put_clicks)
         _write_improved(best, batch, batch_id, now, put_events)
         if has_archive and archive_all:
