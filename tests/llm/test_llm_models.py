@@ -148,3 +148,21 @@ def test_texts_and_contexts_are_not_shuffled_as_they_are(spark):
     plan = looked._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Window [") == 2
     assert sorted(map(tuple, looked.collect())) == sorted([(0, code[0], 0.5), (1, code[0], 0.5), (1, beside, -1.0)])
+
+
+def test_toxicity_needs_one_python_worker_a_task_and_one_sort_a_step(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 100)
+    texts = [(i if i % 5 else None, "lorem ipsum dolor sit amet " * (1 + i % 3)) for i in range(40)]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    ratios = spark.createDataFrame([(1, 0.5)], "key long, ratio double")
+    found = toxicity.measure(docs, ratios, F.coalesce("id", F.xxhash64("text")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Two in one task were memory that the largest executor did not have.
+    assert plan.count("ArrowEvalPython") == 0 and plan.count("MapInPandas") == 3
+    looked = toxicity.looked_up(spark.createDataFrame([(0, 1)], "chunk int, key long"), ratios)
+    assert looked._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    # No task has a second chunk's rows to sort: there are as many tasks with rows as chunks with texts.
+    placed = docs.withColumn("place", F.coalesce("id", F.xxhash64("text")))
+    used = set(toxicity._chunks(placed).of(placed.toPandas()["place"]))
+    assert found.groupBy(F.spark_partition_id()).count().count() == len(used) > 10
+    assert found.count() == 40 and found.where("id IS NULL").count() == 8

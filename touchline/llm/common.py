@@ -91,13 +91,17 @@ def packed(text: Column, form=lambda t: t) -> Column:
 
     @F.pandas_udf("binary")
     def pack(texts: pd.Series) -> pd.Series:
-        codec = pa.Codec("zstd", compression_level=3)
-        whole = [None if t is None else form(t).encode("utf-8", "surrogatepass") for t in texts]
-        return pd.Series([None if t is None else len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in whole], dtype=object)
+        return pd.Series([None if t is None else packed_bytes(form(t)) for t in texts], dtype=object)
 
     return pack(text)
 
 
+def packed_bytes(text: str) -> bytes:
+    """A text as compressed bytes, after its size."""
+    whole = text.encode("utf-8", "surrogatepass")
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(whole, asbytes=True)
+
+
 def unpacked(data: bytes) -> str:
     """The text of :func:`packed` bytes."""
     size = int.from_bytes(data[:8], "little")

@@ -13,7 +13,7 @@ Counts cover every labelled row given, and the model keeps the ratio of every n-
 context as a table, which grows with the corpus.  To be scored, documents are dealt to
 chunks of neighbouring ids of about ``CHUNK`` code points; the distinct n-grams of a chunk
 meet their ratios, or those of their contexts, once, and each chunk's ratios meet its texts,
-which are dealt as compressed bytes.
+which are dealt in compressed blocks.
 
 Defined results: null or empty text has ratios of 0 and scores as such; without tuning
 labels of both classes every score is about 0; label rows of unknown documents and null labels are ignored;
@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from touchline.llm.common import as_table, code_points, fit_logistic, packed, unpacked
+from touchline.llm.common import as_table, code_points, fit_logistic, packed_bytes, unpacked
 
 ORDER = 5
 BITS = 12  # bits of a symbol within an n-gram's code
@@ -37,6 +37,7 @@ CONTEXT = 1 << 61  # added to the code of a context, to tell it from n-grams
 CHUNK = 16_000_000  # code points of the texts that are scored together, about
 HELD = 1_000_000  # n-grams that a task holds before it hands them on
 HANDED = 100_000  # keys in a batch that it hands on
+BLOCK = 1_000_000  # code points of texts that are compressed together, about
 DISCOUNT = 0.75
 WORST = 3  # words with the highest ratios that are averaged
 SAMPLE = 4000  # labelled documents per class, about, for the final fit
@@ -117,44 +118,65 @@ def features(text: str | None, keys: np.ndarray, ratios: np.ndarray) -> tuple[fl
     return float(value.mean()), float(worst[-1]), float(worst.sum() / WORST), float(np.log(len(words)))
 
 
-def _chunk_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct n-grams of a task's texts, by chunk."""
-    held: dict[int, np.ndarray] = {}
+@dataclass
+class Chunks:
+    """Ranges of ``place`` with about ``CHUNK`` code points, by the places at which the next one begins.
+
+    Tasks find the chunk of a row in the same step that reads its text, so that a task needs one
+    Python worker and not one for each step.
+    """
 
-    def emptied() -> Iterator[pd.DataFrame]:
-        for chunk, found in held.items():
-            for at in range(0, len(found), HANDED):
-                yield pd.DataFrame({"chunk": np.int32(chunk), "key": found[at : at + HANDED].view(np.int64)})
-        held.clear()
+    bounds: np.ndarray
 
-    for batch in batches:
-        for chunk, texts in batch.groupby("chunk")["text"]:
-            parts, size = [held.pop(chunk, np.empty(0, dtype=np.uint64))], 0
-            for text in texts:
-                parts.append(codes(symbols(text)))
-                size += len(parts[-1])
-                if size > HELD:
-                    parts, size = [np.unique(np.concatenate(parts))], 0
-            held[chunk] = np.unique(np.concatenate(parts))
-        if sum(map(len, held.values())) > HELD:
-            yield from emptied()
-    yield from emptied()
-
-
-def _chunked(docs: DataFrame, place: Column) -> DataFrame:
-    """``docs`` with ``chunk``, a range of ``place`` with about ``CHUNK`` code points."""
-    docs = docs.withColumn("place", place)
+    def of(self, places: pd.Series) -> np.ndarray:
+        return np.searchsorted(self.bounds, places.to_numpy(np.int64)).astype(np.int32)
+
+    def keys(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Distinct n-grams of a task's texts, by chunk."""
+        held: dict[int, np.ndarray] = {}
+
+        def emptied(most: int) -> Iterator[pd.DataFrame]:
+            while sum(map(len, held.values())) > most:
+                chunk = next(iter(held))
+                found = held.pop(chunk)
+                for at in range(0, len(found), HANDED):
+                    yield pd.DataFrame({"chunk": np.int32(chunk), "key": found[at : at + HANDED].view(np.int64)})
+
+        for batch in batches:
+            for chunk, texts in batch["text"].groupby(self.of(batch["place"])):
+                parts, size = [held.pop(chunk, np.empty(0, dtype=np.uint64))], 0
+                for text in texts:
+                    parts.append(codes(symbols(text)))
+                    size += len(parts[-1])
+                    if size > HELD:
+                        parts, size = [np.unique(np.concatenate(parts))], 0
+                held[chunk] = np.unique(np.concatenate(parts))
+            # The chunks read longest ago go first: where ids are in order, they are over.
+            yield from emptied(HELD)
+        yield from emptied(0)
+
+    def texts(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Blocks of texts of a chunk, packed together: a line with id, blank and plain text for each."""
+        for batch in batches:
+            for chunk, rows in batch.groupby(self.of(batch["place"])):
+                block, size = [], 0
+                for doc_id, named, text in zip(rows["id"], rows["named"], rows["text"]):
+                    block.append(f"{doc_id if named else ''} {plain(text)}")
+                    size += len(block[-1])
+                    if size > BLOCK:
+                        yield pd.DataFrame({"chunk": [np.int32(chunk)], "packed": [packed_bytes("\n".join(block))]})
+                        block, size = [], 0
+                if block:
+                    yield pd.DataFrame({"chunk": [np.int32(chunk)], "packed": [packed_bytes("\n".join(block))]})
+
+
+def _chunks(docs: DataFrame) -> Chunks:
+    """The chunks of ``place, text`` rows."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     many = chars // CHUNK + 1
     shares = [i / many for i in range(1, many)]
     found = docs.agg(F.percentile_approx("place", shares, 100 * many).alias("b")).first()["b"] if shares else []
-    bounds = np.array(sorted(set(found or [])), dtype=np.int64)
-
-    @F.pandas_udf("int")
-    def chunk_of(places: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, places.to_numpy(np.int64)).astype(np.int32))
-
-    return docs.withColumn("chunk", chunk_of("place")).drop("place")
+    return Chunks(np.array(sorted(set(found or [])), dtype=np.int64))
 
 
 def looked_up(keys: DataFrame, ratios: DataFrame) -> DataFrame:
@@ -165,28 +187,25 @@ def looked_up(keys: DataFrame, ratios: DataFrame) -> DataFrame:
     context = F.when(is_context, F.col("key").bitwiseXOR(F.lit(CONTEXT))).otherwise(F.shiftright("key", BITS))
     # Rows of a context are together, so are those of an n-gram: both windows need no shuffle but this one.
     together = given.unionAll(asked).repartition(context).withColumn("context", context)
-    by_context, by_gram = Window.partitionBy("context"), Window.partitionBy("context", "key")
-    other = F.max(F.when(is_context, F.col("ratio"))).over(by_context)
-    found = together.withColumn("other", other).withColumn("own", F.max("ratio").over(by_gram)).where("chunk IS NOT NULL")
+    # By n-gram first: rows sorted for that are sorted for the other window, which reads its column and so stays behind it.
+    by_gram = Window.partitionBy("context", "key").orderBy("chunk")
+    everywhere = by_gram.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = together.withColumns({"own": F.max("ratio").over(everywhere), "before": F.lag("chunk").over(by_gram)})
+    other = F.max(F.when(is_context, F.col("own"))).over(Window.partitionBy("context"))
+    # Several tasks may ask for an n-gram of a chunk; it goes to the chunk once.
+    found = own.withColumn("other", other).where("chunk IS NOT NULL AND NOT chunk <=> before")
     return found.select("chunk", "key", F.coalesce("own", "other").alias("ratio")).where("ratio IS NOT NULL")
 
 
 def measure(docs: DataFrame, ratios: DataFrame, place: Column) -> DataFrame:
     """``id`` and features ``f0`` and on of every row (``id, text``); rows near in ``place`` share their look-ups."""
-    chunked = _chunked(docs.select("id", F.coalesce("text", F.lit("")).alias("text")), place)
-    keys = chunked.select("chunk", "text").mapInPandas(_chunk_keys, "chunk int, key bigint")
-    blank = F.lit(b"")
-    empty = [F.lit(0).cast("bigint").alias("id"), F.lit(False).alias("named"), blank.alias("packed")]
-    looked = looked_up(keys, ratios).select("chunk", F.lit(0).alias("part"), "key", "ratio", *empty)
-    texts = chunked.select(
-        "chunk",
-        F.lit(1).alias("part"),
-        F.lit(0).cast("bigint").alias("key"),
-        F.lit(0.0).alias("ratio"),
-        F.coalesce("id", F.lit(0)).cast("bigint").alias("id"),
-        F.col("id").isNotNull().alias("named"),
-        packed(F.col("text"), plain).alias("packed"),
-    )
+    docs = docs.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("place", place.cast("bigint"))
+    chunks = _chunks(docs)
+    keys = docs.select("place", "text").mapInPandas(chunks.keys, "chunk int, key bigint")
+    looked = looked_up(keys, ratios).withColumn("packed", F.lit(None).cast("binary"))
+    ids = docs.select("place", "text", F.coalesce("id", F.lit(0)).cast("bigint").alias("id"), F.col("id").isNotNull().alias("named"))
+    texts = ids.mapInPandas(chunks.texts, "chunk int, packed binary")
+    texts = texts.select("chunk", F.lit(0).cast("bigint").alias("key"), F.lit(0.0).alias("ratio"), "packed")
     names = [f"f{i}" for i in range(FEATURES)]
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,23 +214,25 @@ def measure(docs: DataFrame, ratios: DataFrame, place: Column) -> DataFrame:
             for chunk, rows in batch.groupby("chunk", sort=False):
                 if chunk != current:
                     current, parts, table = chunk, [], None
-                looked = rows[rows["part"] == 0]
+                is_text = rows["packed"].notna()
+                looked = rows[~is_text]
                 if len(looked):
                     parts.append((looked["key"].to_numpy(np.int64), looked["ratio"].to_numpy(np.float64)))
-                own = rows[rows["part"] == 1]
-                if not len(own):
-                    continue
-                if table is None:  # all ratios of a chunk come before its texts
+                if is_text.any() and table is None:  # all ratios of a chunk come before its texts
                     key = np.concatenate([np.empty(0, dtype=np.int64), *(k for k, _ in parts)])
                     ratio = np.concatenate([np.empty(0), *(r for _, r in parts)])
-                    key, first = np.unique(key, return_index=True)
-                    table, parts = (key, ratio[first]), []
-                found = pd.DataFrame([features(unpacked(t), *table) for t in own["packed"]], columns=names)
-                yield found.assign(id=own["id"].to_numpy(), named=own["named"].to_numpy())
-
-    dealt = looked.unionAll(texts).repartition("chunk").sortWithinPartitions("chunk", "part")
+                    order = np.argsort(key)
+                    table, parts = (key[order], ratio[order]), []
+                for block in rows["packed"][is_text]:
+                    lines = [line.split(" ", 1) for line in unpacked(block).split("\n")]
+                    found = pd.DataFrame([features(text, *table) for _, text in lines], columns=names)
+                    yield found.assign(id=[int(i or 0) for i, _ in lines], named=[i != "" for i, _ in lines])
+
+    # One chunk to a task, where a hash would put several together and leave other tasks without.
+    dealt = looked.unionAll(texts).repartitionById(len(chunks.bounds) + 1, "chunk")
     schema = ", ".join(f"{n} double" for n in names) + ", id bigint, named boolean"
-    return dealt.mapInPandas(measured, schema).select(F.when(F.col("named"), F.col("id")).alias("id"), *names)
+    measured_rows = dealt.sortWithinPartitions("chunk", F.col("packed").isNotNull()).mapInPandas(measured, schema)
+    return measured_rows.select(F.when(F.col("named"), F.col("id")).alias("id"), *names)
 
 
 def shared_probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
