@@ -1,7 +1,9 @@
 """Windows from panes, sketches, narrowed decode, closed sessions, recorded runs, the click table."""
 
+import glob
+import os
 import random
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from streams import add_file, drain, event, subfolder
 from touchline import schemas
 from touchline.operators import attribution, clicks, enrich, health, sessions, stats
 from touchline.operators.decode import decode
-from touchline.plans import adapter
+from touchline.plans import adapter, stream_queries
 from touchline.sinks import archive, click_table
 from touchline.sources import topics, views
 from touchline.streaming import app, jobs, windows
@@ -319,3 +321,25 @@ def test_the_last_arrival_goes_by_the_time_of_the_record(spark, folder, timed):
     (row,) = archive.read_archive(spark, sinks.archive).collect()
     assert row.event_time == (1 if timed else 2)
     assert "record_time" not in archive.read_archive(spark, sinks.archive).columns
+
+
+def test_thirds_of_the_time_have_as_many_files_each_and_shuffle_no_records(spark, folder):
+    start = datetime(2024, 1, 1)
+    # Few rows, and none of them in the second third of the time.
+    seconds = [1, 2, 3, 4, 5, 900, 901, 902, 903]
+    rows = [(i + 1, start + timedelta(seconds=s), i % 3, "view", 1.5, '{"k": 4}') for i, s in enumerate(seconds)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/events.parquet")
+    path, per_batch = stream_queries._export_by_time(spark, folder)
+    files = sorted(glob.glob(f"{path}/part-*.parquet"), key=os.path.getmtime)
+    assert len(files) == 3 * per_batch
+    found = [spark.read.parquet(*files[k * per_batch : (k + 1) * per_batch]) for k in range(3)]
+    time = F.get_json_object("value", "$.event_time").cast("long")
+    times = [sorted(r[0] - 1704067200 for r in part.select(time).collect()) for part in found]
+    assert times == [[1, 2, 3, 4, 5], [], [900, 901, 902, 903]]
+
+
+def test_streamed_sessions_keep_one_narrow_value_each(spark, folder):
+    rows = windows.stream_sessions(stream(spark, folder, [event("a", 1704067200, user_id="u")]))
+    aggregate = next(line for line in plan(rows, "analyzed").splitlines() if "Aggregate" in line)
+    assert aggregate.count("min(") == 1 and "min_by" not in aggregate

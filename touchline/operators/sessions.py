@@ -76,20 +76,24 @@ def stream_sessions(events: DataFrame, gap: int = SESSION_GAP) -> DataFrame:
     """
     time, utm = F.col("event_time"), F.col("utm_params")
     tie = [c for c in ("event_id", *schemas.POSITION) if c in events.columns]
-    touch = F.struct(
+    # All that state holds of a session is its least value of this: narrow, and no map is sorted or shuffled.
+    first = F.struct(
+        time,
+        *tie,
         utm["utm_source"].alias("first_touch_channel"),
         utm["utm_campaign"].alias("first_touch_campaign"),
     )
     session = F.session_window("event_timestamp", f"{gap * 1000 - 500} milliseconds")
     return (
         events.where(F.col("user_id").isNotNull() & time.isNotNull())
+        .select("user_id", "event_timestamp", first.alias("first"))
         .groupBy(session, "user_id")
-        .agg(F.min("event_time").alias("start"), F.min_by(touch, F.struct(time, *tie)).alias("touch"))
+        .agg(F.min("first").alias("first"))
         .select(
             "user_id",
-            F.concat_ws("-", "user_id", "start").alias("session_id"),
-            "touch.first_touch_channel",
-            "touch.first_touch_campaign",
-            F.timestamp_seconds("start").alias("session_start"),
+            F.concat_ws("-", "user_id", "first.event_time").alias("session_id"),
+            "first.first_touch_channel",
+            "first.first_touch_campaign",
+            F.timestamp_seconds("first.event_time").alias("session_start"),
         )
     )

@@ -91,18 +91,23 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_BASE)
 
 
-def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _base(spark, sf_dir).selectExpr("*", _COPY).selectExpr("*", _COPY_TIME)
+def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What raw events are made of: ids, numbers and times only, narrow enough to shuffle."""
+    return _base(spark, sf_dir).selectExpr("*", _COPY).selectExpr("*", _COPY_TIME).drop("props", "base_time")
+
+
+def raw_events_of(rows: DataFrame) -> DataFrame:
+    """The raw events of rows of :func:`copies`."""
+    return with_event_timestamp(rows.selectExpr("*", *_RAW_COLUMNS).select(*_RAW))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS)
-    return with_event_timestamp(rows.select(*_RAW))
+    return raw_events_of(copies(spark, sf_dir))
 
 
 def raw_events_by_copy(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw events in three parts: originals, later copies, earlier copies."""
-    rows = _copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS)
+    rows = copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS)
     parts = [rows.where(F.col("copy") == copy) for copy in range(3)]
     return [with_event_timestamp(part.select(*_RAW)) for part in parts]
 
@@ -113,7 +118,7 @@ def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attributed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS, *_ATTRIBUTION_COLUMNS)
+    rows = copies(spark, sf_dir).selectExpr("*", *_RAW_COLUMNS, *_ATTRIBUTION_COLUMNS)
     return with_event_timestamp(rows.select(*_ATTRIBUTED))
 
 

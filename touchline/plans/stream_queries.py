@@ -6,6 +6,7 @@ the sink finds.  The topics are the whole adapted tables, exported as files.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -43,22 +44,37 @@ def _export(spark: SparkSession, topic: DataFrame) -> tuple[str, int]:
     return path, per_batch
 
 
-def _export_by_time(spark: SparkSession, events: DataFrame, late: Column | None = None) -> tuple[str, int]:
-    """The topic as files in thirds of the time; rows that are ``late`` come with the last."""
+def _export_by_time(spark: SparkSession, sf_dir: str, late: Callable[[DataFrame], Column] | None = None) -> tuple[str, int]:
+    """The raw events as files in thirds of the time; rows that are ``late`` come with the last."""
+    # Derived once: the bounds and each third read it again.
+    stored, made = work_dir(spark, "copies"), adapter.copies(spark, sf_dir)
+    made.write.parquet(stored)
+    events = spark.read.schema(made.schema).parquet(stored)
     first, last = events.agg(F.min("event_time"), F.max("event_time")).first()
     span = (last - first) // _MICRO_BATCHES + 1
     third = F.floor((F.col("event_time") - first) / span)
     if late is not None:
-        third = F.when(late, _MICRO_BATCHES - 1).otherwise(third)
+        third = F.when(late(events), _MICRO_BATCHES - 1).otherwise(third)
     parted = events.withColumn("third", third)
     per_batch = spark.sparkContext.defaultParallelism
     path = work_dir(spark, "topic")
     for k in range(_MICRO_BATCHES):
-        part = adapter.as_topic(parted.where(F.col("third") == k).drop("third"))
-        part.repartition(per_batch).write.mode("append").parquet(path)
+        _append(parted.where(F.col("third") == k).drop("third"), path, per_batch, per_batch * (k + 1))
     return path, per_batch
 
 
+def _append(rows: DataFrame, path: str, files: int, total: int) -> None:
+    """Add the raw events of ``rows`` as ``files`` files, after which the folder has ``total``."""
+    spark = rows.sparkSession
+    # Dealt by content, since Spark would sort rows to deal them in turn, and before they become
+    # wide: records are then built by all tasks alike, and none is shuffled.
+    topic = adapter.as_topic(adapter.raw_events_of(rows.repartition(files, *rows.columns)))
+    topic.write.mode("append").parquet(path)
+    # A file that got no rows is not written: one without rows stands in for it.
+    for _ in range(total - len(spark.read.schema(topic.schema).parquet(path).inputFiles())):
+        spark.createDataFrame([], topic.schema).write.mode("append").parquet(path)
+
+
 def _to_table(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     """Run an appending query over what is there and read its table."""
     out = work_dir(spark, label)
@@ -68,9 +84,9 @@ def _to_table(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
 
 
 def _delayed(events: DataFrame) -> Column:
-    """Some events of the first eight days."""
+    """Some events of the first eight days; ``events`` are rows of :func:`adapter.copies`."""
     start = events.agg(F.min("event_time")).first()[0]
-    return (F.col("event_time") < start + 8 * 86400) & (F.col("event_id").cast("bigint") % 7 == 0)
+    return (F.col("event_time") < start + 8 * 86400) & (F.col("id").cast("bigint") % 7 == 0)
 
 
 def _drain(writer: DataStreamWriter) -> None:
@@ -204,7 +220,7 @@ GROUP BY ALL
 """)
 def tumble_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute windows of a stream that the watermark has closed."""
-    path, per_batch = _export_by_time(spark, adapter.raw_events(spark, sf_dir))
+    path, per_batch = _export_by_time(spark, sf_dir)
     events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, _STATS_FIELDS)
     rows = _to_table(spark, windows.stream_stats(events, ["event_type"]), "stats")
     return rows.withColumns({name: plain_time(name) for name in ("window_start", "window_end")})
@@ -355,8 +371,7 @@ def hop_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The topic comes in thirds of the time; some rows of the first days come with the last.
     """
-    raw = adapter.raw_events(spark, sf_dir)
-    path, per_batch = _export_by_time(spark, raw, _delayed(raw))
+    path, per_batch = _export_by_time(spark, sf_dir, _delayed)
     events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, _STATS_FIELDS)
     rows = _to_table(spark, windows.stream_stats(events, ["event_type"], "5 minutes", "1 minute"), "stats")
     return rows.withColumns({name: plain_time(name) for name in ("window_start", "window_end")})
@@ -372,7 +387,7 @@ WHERE last_time + 1800 <= (SELECT max(event_time) - 5 FROM raw)
 """)
 def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of a stream in time order that the watermark has closed."""
-    path, per_batch = _export_by_time(spark, adapter.raw_events(spark, sf_dir))
+    path, per_batch = _export_by_time(spark, sf_dir)
     fields = ["event_id", "user_id", "utm_params", "event_time"]
     events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, fields)
     rows = _to_table(spark, windows.stream_sessions(events), "sessions")
@@ -392,8 +407,7 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Minute statistics run over several micro-batches; some rows of the first days come last.
     """
-    raw = adapter.raw_events(spark, sf_dir)
-    path, per_batch = _export_by_time(spark, raw, _delayed(raw))
+    path, per_batch = _export_by_time(spark, sf_dir, _delayed)
     events = decode(topics.exported_stream(spark, path, per_batch), schemas.RAW_EVENTS, _STATS_FIELDS)
     counts = windows.stream_stats(events, ["event_type"]).writeStream.format("noop")
     progress = work_dir(spark, "progress")
