@@ -1,11 +1,12 @@
 import hashlib
+import json
 import random
 
 import brute
 import numpy as np
 import pytest
 
-from touchline.llm import neardup, substrings
+from touchline.llm import common, neardup, substrings
 from touchline.llm.common import documents, unpacked
 from touchline.llm.queries import ORACLES, op6_neardup, op9_substrings
 from oracle import assert_matches
@@ -126,3 +127,22 @@ def test_texts_are_shuffled_packed(spark, tables, prose, monkeypatch):
     assert "text" not in written["substrings-texts"].columns and "packed" in written["substrings-texts"].columns
     held = {unpacked(bytes(r["packed"])) for r in written["substrings-texts"].collect()}
     assert held == {t for _, t in texts if t}
+
+
+def test_removal_shuffles_a_text_once_and_packed(spark, tables, prose, monkeypatch):
+    shared = prose(60, 1)
+    texts = [(1, shared + " " + prose(40, 2)), (2, prose(50, 3) + " " + shared), (3, "é 漢字  \n"), (4, None), (5, "")]
+    docs = documents(spark, tables([*texts, (6, "x y " * 9000), (6, "x y " * 9000), (7, "ab " * 34)]))
+    monkeypatch.setattr(common, "BATCH_BYTES", 20)
+    cut = substrings.remove_repeats(docs)
+    node = cut._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    crossing = {f["name"]: f["type"] for f in json.loads(node.children().head().schema().json())["fields"]}
+    assert crossing.keys() == {"row", "h1", "h2"}
+    assert {f["name"]: f["type"] for f in crossing["row"]["fields"]}["text"] == "binary"
+    got = sorted((r["doc_id"], r["text"]) for r in cut.where("doc_id < 6").collect() if r["text"] is not None)
+    assert got == [(1, prose(40, 2)), (2, prose(50, 3) + " "), (3, "é 漢字  \n"), (5, "")]
+    assert sorted(map(tuple, cut.where("doc_id IN (4, 6, 7)").select("doc_id", "text").collect())) == [
+        (4, None), (6, ""), (6, ""), (7, "ab " * 34)
+    ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -102,6 +103,28 @@ def packed_bytes(text: str) -> bytes:
     return len(whole).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(whole, asbytes=True)
 
 
+def unpacked_text(data: Column) -> Column:
+    """The text of a column of :func:`packed` bytes; null stays null.
+
+    A batch of bytes is handed back in batches of about ``BATCH_BYTES`` of text, however well texts were compressed.
+    """
+
+    @F.pandas_udf("string")
+    def unpack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            held, size = [], 0
+            for packs in batch:
+                held.append(None if packs is None else unpacked(packs))
+                size += len(held[-1] or "")
+                if size > BATCH_BYTES:
+                    yield pd.Series(held, dtype=object)
+                    held, size = [], 0
+            if held:
+                yield pd.Series(held, dtype=object)
+
+    return unpack(data)
+
+
 def unpacked(data: bytes) -> str:
     """The text of :func:`packed` bytes."""
     size = int.from_bytes(data[:8], "little")

@@ -25,7 +25,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.common import as_table, code_points, packed, span_hashes, text_keys, unpacked, window_hashes, word_spans
+from touchline.llm.common import (
+    as_table,
+    code_points,
+    packed,
+    span_hashes,
+    text_keys,
+    unpacked,
+    unpacked_text,
+    window_hashes,
+    word_spans,
+)
 
 WINDOW = 35
 ANCHOR = 8
@@ -156,6 +166,8 @@ def find_repeats(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The same rows and columns; ``text`` loses every word that a repeated window covers."""
     found = find_repeats(docs).select("h1", "h2", "cleaned")
-    keyed = docs.select(F.struct("*").alias("row"), "text", *text_keys()).join(found, ["h1", "h2"], "left")
-    text = F.coalesce("cleaned", "text")
+    # A text crosses the shuffle once and packed; only texts that stay as they are get unpacked.
+    row = F.struct(*(packed(F.col(c)).alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    keyed = docs.select(row.alias("row"), *text_keys()).join(found, ["h1", "h2"], "left")
+    text = F.coalesce("cleaned", unpacked_text(F.when(F.col("cleaned").isNull(), F.col("row")["text"])))
     return keyed.select(*((text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns))
