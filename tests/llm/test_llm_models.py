@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,26 @@ def test_toxicity_needs_one_python_worker_a_task_and_one_sort_a_step(spark, monk
     used = set(toxicity._chunks(placed).of(placed.toPandas()["place"]))
     assert found.groupBy(F.spark_partition_id()).count().count() == len(used) > 10
     assert found.count() == 40 and found.where("id IS NULL").count() == 8
+
+
+def test_toxicity_looks_texts_up_together(prose, monkeypatch):
+    texts = [toxicity.plain(t) for t in (prose(30, 1), "", prose(5, 2), None, "x", "İΣ 漢字 zzz \U0001f600", prose(200, 3))]
+    rng = np.random.default_rng(5)
+    grams = [toxicity.codes(toxicity.symbols(t)) for t in texts]
+    assert toxicity.distinct(grams).tolist() == sorted(set(np.concatenate(grams).tolist()))
+    assert not len(toxicity.distinct([])) and toxicity.distinct([grams[4], grams[4]]).tolist() == sorted(set(grams[4].tolist()))
+    known = {c: rng.normal() for c in toxicity.distinct(grams).tolist() if rng.random() < 0.6}
+    known |= {c >> toxicity.BITS | toxicity.CONTEXT: rng.normal() for c in toxicity.distinct(grams).tolist()[::2]}
+    expected = []
+    for text, codes in zip(texts, grams):
+        value = [known.get(c, known.get(c >> toxicity.BITS | toxicity.CONTEXT, 0.0)) for c in codes.tolist()]
+        starts = [i for i, c in enumerate(" " + text) if c == " "] + [len(value)]
+        worst = sorted(sum(value[a:b]) for a, b in zip(starts, starts[1:]))[-3:]
+        expected.append((np.mean(value), worst[-1], sum(worst) / 3, np.log(len(starts) - 1)) if text else (0.0,) * 4)
+    calls = []
+    real = toxicity.ratios_of
+    monkeypatch.setattr(toxicity, "ratios_of", lambda *given: calls.append(1) or real(*given))
+    keys, ratios = pd.Index(list(known)), np.array(list(known.values()))
+    found = toxicity.plain_features(texts, keys, ratios)
+    assert [pytest.approx(e) for e in expected] == found and len(calls) == 1
+    assert [toxicity.features(t, keys, ratios) for t in texts] == found
